@@ -129,10 +129,10 @@ group by g.z, yy.y"""
 
 
 def channel_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.channel_metadata(B.convert_to_blocks(V.multichannel(spark, sf_dir), (1, 4, 4))).drop("acq_id")
+    return B.channel_metadata(V.multichannel(spark, sf_dir)).drop("acq_id")
 
 
-CHANNEL_METADATA = """select vec_id % 4 as channel, count(distinct vec_id // 4) as n_tiles, count(*) * 4 as n_blocks,
+CHANNEL_METADATA = """select vec_id % 4 as channel, count(distinct vec_id // 4) as n_tiles, count(*) as n_blocks,
        1 as size_z, 8 as size_y, 8 as size_x, count(*) * 128 as n_bytes from embeddings group by 1"""
 
 
@@ -201,32 +201,13 @@ select tile_index, y, string_agg(cast(cast(v as bigint) as varchar), ',' order b
 
 def blurred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scene blurred with sigma 2, as rounded samples."""
-    from tilewright.operators.boxes import fields_of
-    from pyspark.sql import types as T
-
     scene = V.scene(spark, sf_dir)
     out = gaussian_blur(scene, B.tile_sizes(scene), (1, 8, 8), 2.0, B.TILE, axes=(1, 2))
-    # Float samples leave Python as one row per image line.
-    schema = T.StructType(
-        [T.StructField("y", T.LongType()), T.StructField("x0", T.LongType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
-    )
-
-    def lines(batches):
-        import numpy as np
-        import pandas as pd
-
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                block = np.frombuffer(r.data, "<f8").reshape(r.ny, r.nx)
-                rows += [(r.y0 + y, r.x0, block[y]) for y in range(r.ny)]
-            yield pd.DataFrame(rows, columns=["y", "x0", "values"])
-
-    values = out.mapInPandas(lines, schema).select("y", "x0", F.posexplode("values").alias("k", "v"))
+    values = to_scanlines(out, [], "<f8").select("y", "x0", F.posexplode("values").alias("k", "v"))
     return values.select("y", (F.col("x0") + F.col("k")).alias("x"), F.round("v", 4).alias("v"))
 
 
-_W = [f"({o}, {w!r})" for o, w in zip(range(-6, 7), kernel_weights(2.0).tolist())]
+_W = [f"({o}, cast({w!r} as double))" for o, w in zip(range(-6, 7), kernel_weights(2.0).tolist())]
 _MIRROR = "case when {p} < 0 then -({p}) when {p} >= {n} then 2 * ({n} - 1) - ({p}) else {p} end"
 GAUSSIAN_BLUR = f"""with {V.SCENE},
 size as (select max(y) + 1 as h, max(x) + 1 as w from scene),
@@ -255,9 +236,9 @@ select *, (hi_y - lo_y) * (hi_x - lo_x) as overlap from o"""
 
 
 def _inputs(spark: SparkSession, sf_dir: str):
-    """Tiles (metadata, read by several joins) are computed once."""
+    """Tiles and blocks as the convert stage leaves them: stored tables."""
     tiles = cut_lineage(V.tiles(spark, sf_dir))
-    return tiles, V.tile_blocks(spark, sf_dir), overlap_pairs(tiles, min_overlap=MIN_OVERLAP)
+    return tiles, cut_lineage(V.tile_blocks(spark, sf_dir)), overlap_pairs(tiles, min_overlap=MIN_OVERLAP)
 
 
 def _shifts(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
@@ -392,8 +373,8 @@ qualify rank <= 3"""
 
 
 def _fused(spark, sf_dir, positions, **options) -> DataFrame:
-    tiles = cut_lineage(V.tiles(spark, sf_dir))
-    return fuse(V.tile_blocks(spark, sf_dir), tiles, positions or tiles, OUT_CELL, **options)
+    tiles, blocks, _ = _inputs(spark, sf_dir)
+    return fuse(blocks, tiles, positions or tiles, OUT_CELL, **options)
 
 
 def fused_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,10 +394,19 @@ def fused_scene(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fused_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third tile is missing; the holes take the channel background."""
     tiles = cut_lineage(V.tiles(spark, sf_dir).where("tile_index % 3 <> 1"))
-    blocks = V.tile_blocks(spark, sf_dir).join(tiles.select("acq_id", "tile_index"), ["acq_id", "tile_index"], "left_semi")
+    blocks = cut_lineage(V.tile_blocks(spark, sf_dir))
+    blocks = blocks.join(tiles.select("acq_id", "tile_index"), ["acq_id", "tile_index"], "left_semi")
     return _lines(fuse(blocks, tiles, tiles, OUT_CELL), ["cy", "cx"]).drop("z")
 
 
+def fused_solved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: match, solve and fuse; equals the scene from the first tile's place on."""
+    tiles, blocks, pairs = _inputs(spark, sf_dir)
+    found = cut_lineage(pair_shifts(pair_crops(blocks, tiles, pairs, SEARCH), SEARCH, "phase", min_overlap=64))
+    positions, _ = solve_positions(tiles, to_links(tiles, found))
+    return _lines(fuse(blocks, tiles, positions, OUT_CELL, fill=False), ["cy", "cx"]).drop("z")
+
+
 def _fuse_sql(ypos, xpos, value, fill, keep="true"):
     return f"""with {V.TILE_PX},
 px as (select *, {ypos} + y - (select min({ypos}) from tile where {keep}) as gy, {xpos} + x - (select min({xpos}) from tile where {keep}) as gx,
@@ -508,6 +498,7 @@ QUERIES = {
     "fused_maxweight": (fused_maxweight, FUSED_MAXWEIGHT),
     "fused_scene": (fused_scene, FUSED_SCENE),
     "fused_fill": (fused_fill, FUSED_FILL),
+    "fused_solved": (fused_solved, FUSED_SCENE),
     "pyramid_levels": (pyramid_levels, PYRAMID_LEVELS),
     "pyramid_means": (pyramid_means, PYRAMID_MEANS),
 }

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import CELL, ORIGIN, SHAPE, fields_of, paste, split_to_grid, to_bytes
+from tilewright.operators.boxes import BOX_FIELDS, CELL, fields_of, paste, reduce_boxes, split_to_grid, to_bytes
 
 
 def kernel_weights(sigma: float) -> np.ndarray:
@@ -43,27 +41,18 @@ def gaussian_blur(
     on = [k for k in keys if k in sizes.columns]
     size_cols = ["size_z", "size_y", "size_x"]
     crops = crops.join(sizes.select(*on, *size_cols), on)
-    schema = T.StructType(
-        [
-            *fields_of(blocks, keys),
-            *[T.StructField(c, T.LongType()) for c in ORIGIN],
-            *[T.StructField(c, T.IntegerType()) for c in SHAPE],
-            T.StructField("data", T.BinaryType()),
-        ]
-    )
-    names = schema.fieldNames()
+    schema = T.StructType([*fields_of(blocks, keys), *BOX_FIELDS])
 
-    def blur(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = list(batches)
-        size = tuple(int(rows[0][c].iloc[0]) for c in size_cols)
+    def blur(key, rows):
+        rows = list(rows)
+        size = tuple(getattr(rows[0], c) for c in size_cols)
         block, origin = paste(rows)
         out = block.astype("float64")
-        lo, hi = [], []
+        lo = []
         for axis in range(3):
-            start = int(key[len(keys) + axis]) * cell[axis]
+            start = key[len(keys) + axis] * cell[axis]
             stop = min(start + cell[axis], size[axis])
             lo.append(start)
-            hi.append(stop)
             if axis not in axes:
                 continue
             at = np.arange(start, stop)[:, None] + np.arange(-radius, radius + 1)[None, :]
@@ -71,9 +60,9 @@ def gaussian_blur(
             at = np.abs(at) % period
             at = np.where(at >= size[axis], period - at, at) - origin[axis]
             out = np.moveaxis(np.moveaxis(out, axis, -1)[..., at] @ weights, -1, axis)
-        yield pd.DataFrame([(*key[: len(keys)], *lo, *out.shape, to_bytes(out, "<f8"))], columns=names)
+        yield (*key[: len(keys)], *lo, *out.shape, to_bytes(out, "<f8"))
 
     # Cells that only receive halo from a neighbour lie outside the image.
     starts = [(F.col(c) >= 0) & (F.col(c) * n < F.col(s)) for c, n, s in zip(CELL, cell, size_cols)]
     inside = crops.where(starts[0] & starts[1] & starts[2])
-    return inside.groupBy(*keys, *CELL).applyInPandas(blur, schema)
+    return reduce_boxes(inside, [*keys, *CELL], blur, schema)

@@ -7,13 +7,15 @@ a key, a small numpy step pastes or reduces what arrives there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import namedtuple
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ORIGIN = ("z0", "y0", "x0")
 SHAPE = ("nz", "ny", "nx")
@@ -49,6 +51,59 @@ def cells_covered(lo: str | Column, hi: str | Column, cell: int | Column, halo:
     return F.sequence(first.cast("long"), last.cast("long"))
 
 
+# Output rows are handed back in Arrow batches of about this many payload bytes.
+BATCH_BYTES = 16 << 20
+
+
+def _rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """Named rows, one Arrow batch in memory at a time."""
+    row = None
+    for batch in batches:
+        row = row or namedtuple("Box", batch.schema.names)
+        for values in zip(*[column.to_pylist() for column in batch.columns]):
+            yield row(*values)
+
+
+def _batches_of(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes)) + 64
+        if size >= BATCH_BYTES:
+            yield _batch(held, schema)
+            held, size = [], 0
+    if held:
+        yield _batch(held, schema)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def map_boxes(boxes: DataFrame, step: Callable[[tuple], Iterable[tuple]], schema: T.StructType) -> DataFrame:
+    """``step(row)`` yields output tuples; rows stream through in Arrow batches."""
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches_of((out for row in _rows_of(batches) for out in step(row)), arrow)
+
+    return boxes.mapInArrow(run, schema)
+
+
+def reduce_boxes(
+    boxes: DataFrame, keys: list[str], step: Callable[[tuple, Iterator[tuple]], Iterable[tuple]], schema: T.StructType
+) -> DataFrame:
+    """``step(key, rows)`` yields output tuples; a group's rows stream, they are not gathered first."""
+    arrow = to_arrow_schema(schema)
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches_of(step(tuple(k.as_py() for k in key), _rows_of(batches)), arrow)
+
+    # AQE merges partitions by bytes, but kernels cost CPU per group: keep the set number.
+    n = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return boxes.repartition(n, *keys).groupBy(*keys).applyInArrow(run, schema)
+
+
 def split_to_grid(
     boxes: DataFrame,
     cell: tuple[int, int, int],
@@ -61,73 +116,55 @@ def split_to_grid(
     Each payload enters Python once, whatever the number of cells it is cut into.
     """
     schema = T.StructType([*fields_of(boxes, keep), *CELL_FIELDS, *BOX_FIELDS])
-    names = schema.fieldNames()
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                shape = (row.nz, row.ny, row.nx)
-                origin = (row.z0, row.y0, row.x0)
-                block = pixels(row.data, *shape, dtype)
-                spans = []
-                for o, n, c, h in zip(origin, shape, cell, halo):
-                    axis = []
-                    for k in range((o - h) // c, (o + n - 1 + h) // c + 1):
-                        lo, hi = max(o, k * c - h), min(o + n, (k + 1) * c + h)
-                        if lo < hi:
-                            axis.append((k, lo, hi))
-                    spans.append(axis)
-                kept = tuple(getattr(row, c) for c in keep)
-                for kz, zl, zh in spans[0]:
-                    for ky, yl, yh in spans[1]:
-                        for kx, xl, xh in spans[2]:
-                            piece = block[
-                                zl - origin[0] : zh - origin[0],
-                                yl - origin[1] : yh - origin[1],
-                                xl - origin[2] : xh - origin[2],
-                            ]
-                            out.append(
-                                (*kept, kz, ky, kx, zl, yl, xl, zh - zl, yh - yl, xh - xl, to_bytes(piece, dtype))
-                            )
-            yield pd.DataFrame(out, columns=names)
-
-    return boxes.select(*dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data"])).mapInPandas(cut, schema)
+
+    def cut(row):
+        shape = (row.nz, row.ny, row.nx)
+        origin = (row.z0, row.y0, row.x0)
+        block = pixels(row.data, *shape, dtype)
+        spans = []
+        for o, n, c, h in zip(origin, shape, cell, halo):
+            axis = []
+            for k in range((o - h) // c, (o + n - 1 + h) // c + 1):
+                lo, hi = max(o, k * c - h), min(o + n, (k + 1) * c + h)
+                if lo < hi:
+                    axis.append((k, lo, hi))
+            spans.append(axis)
+        kept = tuple(getattr(row, c) for c in keep)
+        for kz, zl, zh in spans[0]:
+            for ky, yl, yh in spans[1]:
+                for kx, xl, xh in spans[2]:
+                    piece = block[
+                        zl - origin[0] : zh - origin[0],
+                        yl - origin[1] : yh - origin[1],
+                        xl - origin[2] : xh - origin[2],
+                    ]
+                    yield (*kept, kz, ky, kx, zl, yl, xl, *piece.shape, to_bytes(piece, dtype))
+
+    return map_boxes(boxes.select(*dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data"])), cut, schema)
 
 
 def crop_boxes(boxes: DataFrame, keep: list[str], dtype: str = "<u2") -> DataFrame:
     """Cut every box to the range ``lo_z,hi_z,lo_y,hi_y,lo_x,hi_x`` on its own row."""
     schema = T.StructType([*fields_of(boxes, keep), *BOX_FIELDS])
-    names = schema.fieldNames()
     limits = ["lo_z", "hi_z", "lo_y", "hi_y", "lo_x", "hi_x"]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                block = pixels(row.data, row.nz, row.ny, row.nx, dtype)
-                zl, zh = max(row.z0, row.lo_z), min(row.z0 + row.nz, row.hi_z)
-                yl, yh = max(row.y0, row.lo_y), min(row.y0 + row.ny, row.hi_y)
-                xl, xh = max(row.x0, row.lo_x), min(row.x0 + row.nx, row.hi_x)
-                if zl >= zh or yl >= yh or xl >= xh:
-                    continue
-                piece = block[zl - row.z0 : zh - row.z0, yl - row.y0 : yh - row.y0, xl - row.x0 : xh - row.x0]
-                kept = tuple(getattr(row, c) for c in keep)
-                out.append((*kept, zl, yl, xl, zh - zl, yh - yl, xh - xl, to_bytes(piece, dtype)))
-            yield pd.DataFrame(out, columns=names)
-
-    wanted = dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data", *limits])
-    return boxes.select(*wanted).mapInPandas(cut, schema)
-
-
-def paste(batches, origin=None, shape=None, dtype: str = "<u2") -> tuple[np.ndarray, tuple[int, int, int]]:
-    """Paste rows into one array; bounds come from the rows when not given."""
-    rows = [r for batch in batches for r in batch.itertuples(index=False)]
-    if origin is None:
-        origin = tuple(min(getattr(r, c) for r in rows) for c in ORIGIN)
-        shape = tuple(
-            max(getattr(r, c) + getattr(r, n) for r in rows) - o for c, n, o in zip(ORIGIN, SHAPE, origin)
-        )
+    def cut(row):
+        block = pixels(row.data, row.nz, row.ny, row.nx, dtype)
+        zl, zh = max(row.z0, row.lo_z), min(row.z0 + row.nz, row.hi_z)
+        yl, yh = max(row.y0, row.lo_y), min(row.y0 + row.ny, row.hi_y)
+        xl, xh = max(row.x0, row.lo_x), min(row.x0 + row.nx, row.hi_x)
+        if zl < zh and yl < yh and xl < xh:
+            piece = block[zl - row.z0 : zh - row.z0, yl - row.y0 : yh - row.y0, xl - row.x0 : xh - row.x0]
+            yield (*[getattr(row, c) for c in keep], zl, yl, xl, *piece.shape, to_bytes(piece, dtype))
+
+    return map_boxes(boxes.select(*dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data", *limits])), cut, schema)
+
+
+def paste(rows: Iterable[tuple], dtype: str = "<u2") -> tuple[np.ndarray, tuple[int, int, int]]:
+    """Paste rows into one array over their common bounds."""
+    rows = list(rows)
+    origin = tuple(min(getattr(r, c) for r in rows) for c in ORIGIN)
+    shape = tuple(max(getattr(r, c) + getattr(r, n) for r in rows) - o for c, n, o in zip(ORIGIN, SHAPE, origin))
     out = np.zeros(shape, dtype=dtype)
     for r in rows:
         z, y, x = (r.z0 - origin[0], r.y0 - origin[1], r.x0 - origin[2])
@@ -138,40 +175,35 @@ def paste(batches, origin=None, shape=None, dtype: str = "<u2") -> tuple[np.ndar
 def merge_cells(crops: DataFrame, keys: list[str], dtype: str = "<u2") -> DataFrame:
     """Paste the crops of each (keys, cell) into one box; a cell bounds the group's size."""
     schema = T.StructType([*fields_of(crops, keys), *CELL_FIELDS, *BOX_FIELDS])
-    names = schema.fieldNames()
 
-    def merge(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, origin = paste(batches, dtype=dtype)
-        yield pd.DataFrame([(*key, *origin, *block.shape, to_bytes(block, dtype))], columns=names)
+    def merge(key, rows):
+        block, origin = paste(rows, dtype)
+        yield (*key, *origin, *block.shape, to_bytes(block, dtype))
 
-    return crops.groupBy(*keys, *CELL).applyInPandas(merge, schema)
+    return reduce_boxes(crops, [*keys, *CELL], merge, schema)
 
 
 def to_scanlines(boxes: DataFrame, keep: list[str], dtype: str = "<u2") -> DataFrame:
     """One row per image line: ``z, y, x0, values``; the JVM-side view of box rows."""
+    value = T.DoubleType() if dtype == "<f8" else T.LongType()
     schema = T.StructType(
         [
             *fields_of(boxes, keep),
             T.StructField("z", T.LongType()),
             T.StructField("y", T.LongType()),
             T.StructField("x0", T.LongType()),
-            T.StructField("values", T.ArrayType(T.LongType())),
+            T.StructField("values", T.ArrayType(value)),
         ]
     )
-    names = schema.fieldNames()
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                block = pixels(row.data, row.nz, row.ny, row.nx, dtype).astype("int64")
-                kept = tuple(getattr(row, c) for c in keep)
-                for z in range(row.nz):
-                    for y in range(row.ny):
-                        out.append((*kept, row.z0 + z, row.y0 + y, row.x0, block[z, y]))
-            yield pd.DataFrame(out, columns=names)
-
-    return boxes.select(*dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data"])).mapInPandas(lines, schema)
+
+    def lines(row):
+        block = pixels(row.data, row.nz, row.ny, row.nx, dtype)
+        kept = tuple(getattr(row, c) for c in keep)
+        for z in range(row.nz):
+            for y in range(row.ny):
+                yield (*kept, row.z0 + z, row.y0 + y, row.x0, block[z, y].tolist())
+
+    return map_boxes(boxes.select(*dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data"])), lines, schema)
 
 
 def broadcast_if_bounded(df: DataFrame, row_bytes: int, limit_bytes: int = 256 << 20) -> DataFrame:

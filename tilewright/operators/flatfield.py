@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilewright.functions.running import running_sum
-from tilewright.operators.boxes import BOX_FIELDS, broadcast_if_bounded, fields_of, pixels, to_bytes
+from tilewright.operators.boxes import BOX_FIELDS, broadcast_if_bounded, fields_of, map_boxes, pixels, reduce_boxes, to_bytes
+from tilewright.session import cut_lineage
 
 CHANNEL = ["acq_id", "channel"]
 PIXEL = [*CHANNEL, "y", "x"]
@@ -74,6 +75,8 @@ def binned_counts(counts: DataFrame, bins: int, low: int, high: int) -> DataFram
 
 def estimate(counts: DataFrame) -> DataFrame:
     """``acq_id, channel, y, x, s, t`` from per-pixel counts; every pixel of a channel must have the same total."""
+    # Counting reads all pixels; every later step reads the counts.
+    counts = cut_lineage(counts)
     exact = lambda c: c.cast("decimal(38,0)")
     per_pixel = Window.partitionBy(*PIXEL).orderBy("v")
     # A run of equal samples occupies ranks lo .. lo+n-1 (0-based) of its pixel.
@@ -82,48 +85,43 @@ def estimate(counts: DataFrame) -> DataFrame:
         (F.sum("n").over(per_pixel) - F.col("n")).alias("lo"),
         (F.col("v") - F.coalesce(F.lag("v").over(per_pixel), F.lit(0))).alias("rise"),
     )
-    totals = (
-        counts.groupBy(*PIXEL)
-        .agg(F.sum("n").alias("n"), F.sum(exact(F.col("v") * F.col("n"))).alias("sum_v"))
-    )
-    sizes = totals.groupBy(*CHANNEL).agg(
-        F.count("*").alias("n_px"), F.max("n").alias("depth"), F.min("n").alias("least")
-    )
-    # Q(k) = n_px * M_k is a step function of the rank: it rises where runs begin.
+    # Q(k) = n_px * M_k is a step function of the rank: it rises where runs begin, and
+    # R(k) = Q(0) + .. + Q(k-1) = k * Q(k) - sum over steps up to k of rise * lo.
     steps = runs.groupBy(*CHANNEL, "lo").agg(F.sum("rise").alias("rise"))
-    curve = running_sum(steps, CHANNEL, "lo", {"q": "rise"})
-    # R(k) = Q(0) + .. + Q(k-1) = k * Q(k) - sum over steps of rise * lo.
-    curve = running_sum(
-        curve.withColumn("late", exact(F.col("rise")) * exact(F.col("lo"))), CHANNEL, "lo", {"late_sum": "late"}
-    )
-    curve = curve.select(*CHANNEL, "lo", "q", (exact(F.col("lo")) * exact(F.col("q")) - F.col("late_sum")).alias("r"))
-    # sum_k v(k) Q(k) = v_last * R(depth) - sum over runs of rise * R(lo), and likewise for Q itself:
-    # sum_k Q(k)^2 = Q_last * R(depth) - sum over steps of rise * R(lo).
-    q_last = steps.groupBy(*CHANNEL).agg(
-        exact(F.sum("rise")).alias("q_last"), F.sum(exact(F.col("rise")) * exact(F.col("lo"))).alias("late_all")
+    steps = steps.withColumn("late", exact(F.col("rise")) * exact(F.col("lo")))
+    curve = running_sum(steps, CHANNEL, "lo", {"q": "rise", "late_sum": "late"}).select(
+        *CHANNEL, "lo", "rise", "late", (exact(F.col("lo")) * exact(F.col("q")) - F.col("late_sum")).alias("r")
     )
-    qq = steps.join(curve, [*CHANNEL, "lo"]).groupBy(*CHANNEL).agg(
-        F.sum(F.col("rise").cast("double") * F.col("r").cast("double")).alias("rise_r")
-    )
-    channel = sizes.join(q_last, CHANNEL).join(qq, CHANNEL)
-    channel = channel.withColumn(
-        "sum_q",
-        F.when(F.col("least") == F.col("depth"), exact(F.col("depth")) * F.col("q_last") - F.col("late_all")).otherwise(
-            F.raise_error(F.lit("every pixel of a channel needs the same number of samples")).cast("decimal(38,0)")
-        ).cast("double"),
-    ).withColumn("sum_qq", F.col("q_last").cast("double") * F.col("sum_q") - F.col("rise_r"))
+    weighted = F.sum(F.col("rise").cast("double") * F.col("r").cast("double")).alias("rise_r")
+    # sum_k v(k) Q(k) = v_last * R(depth) - sum over runs of rise * R(lo).
     pixel = (
-        runs.join(curve, [*CHANNEL, "lo"])
+        runs.join(curve.select(*CHANNEL, "lo", "r"), [*CHANNEL, "lo"])
         .groupBy(*PIXEL)
         .agg(
-            F.sum(F.col("rise").cast("double") * F.col("r").cast("double")).alias("rise_r"),
+            F.sum("n").alias("n"),
+            F.sum(exact(F.col("v") * F.col("n"))).cast("double").alias("sum_v"),
             F.max("v").cast("double").alias("v_last"),
+            weighted,
         )
     )
-    fitted = totals.join(pixel, PIXEL).join(
-        channel.select(*CHANNEL, "n_px", "depth", "sum_q", "sum_qq"), CHANNEL
+    sizes = pixel.groupBy(*CHANNEL).agg(
+        F.count("*").alias("n_px"), F.max("n").alias("depth"), F.min("n").alias("least")
+    )
+    # The same identity with Q in place of v gives sum_k Q(k)^2.
+    ends = curve.groupBy(*CHANNEL).agg(
+        exact(F.sum("rise")).alias("q_last"), F.sum("late").alias("late_all"), weighted.alias("steps_r")
     )
-    n, sv, sq = F.col("depth").cast("double"), F.col("sum_v").cast("double"), F.col("sum_q")
+    whole = exact(F.col("depth")) * F.col("q_last") - F.col("late_all")
+    uneven = F.raise_error(F.lit("every pixel of a channel needs the same number of samples"))
+    channel = sizes.join(ends, CHANNEL).withColumn(
+        "sum_q",
+        F.when(F.col("least") == F.col("depth"), whole.cast("double")).otherwise(uneven.cast("double")),
+    )
+    channel = channel.select(
+        *CHANNEL, "n_px", "sum_q", (F.col("q_last").cast("double") * F.col("sum_q") - F.col("steps_r")).alias("sum_qq")
+    )
+    fitted = pixel.join(channel, CHANNEL)
+    n, sv, sq = F.col("n").cast("double"), F.col("sum_v"), F.col("sum_q")
     sum_vq = F.col("v_last") * sq - F.col("rise_r")
     spread = n * F.col("sum_qq") - sq * sq
     # A stack without any spread carries no shading: S = 1.
@@ -145,19 +143,19 @@ def field_blocks(field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
             T.StructField("t", T.BinaryType()),
         ]
     )
-    names = schema.fieldNames()
     ch, cw = cell_yx
 
-    def assemble(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        y0, x0 = int(key[2]) * ch, int(key[3]) * cw
-        ny, nx = int(rows["y"].max()) - y0 + 1, int(rows["x"].max()) - x0 + 1
+    def assemble(key, rows):
+        rows = list(rows)
+        y0, x0 = key[2] * ch, key[3] * cw
+        ny, nx = max(r.y for r in rows) - y0 + 1, max(r.x for r in rows) - x0 + 1
         s, t = np.ones((ny, nx)), np.zeros((ny, nx))
-        s[rows["y"] - y0, rows["x"] - x0] = rows["s"]
-        t[rows["y"] - y0, rows["x"] - x0] = rows["t"]
-        return pd.DataFrame([(*key, ny, nx, to_bytes(s, "<f8"), to_bytes(t, "<f8"))], columns=names)
+        for r in rows:
+            s[r.y - y0, r.x - x0], t[r.y - y0, r.x - x0] = r.s, r.t
+        yield (*key, ny, nx, to_bytes(s, "<f8"), to_bytes(t, "<f8"))
 
     placed = field.withColumn("cy", F.floor(F.col("y") / ch)).withColumn("cx", F.floor(F.col("x") / cw))
-    return placed.groupBy(*CHANNEL, "cy", "cx").applyInPandas(assemble, schema)
+    return reduce_boxes(placed, [*CHANNEL, "cy", "cx"], assemble, schema)
 
 
 def apply_field(blocks: DataFrame, field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
@@ -174,23 +172,17 @@ def apply_field(blocks: DataFrame, field: DataFrame, cell_yx: tuple[int, int]) -
         boxes.unpersist()
     keyed = blocks.withColumn("cy", F.floor(F.col("y0") / ch)).withColumn("cx", F.floor(F.col("x0") / cw))
     met = keyed.join(boxes_side, [*CHANNEL, "cy", "cx"])
-    out = blocks.schema
-    names = out.fieldNames()
+    names = blocks.columns
 
-    def correct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fixed = []
-            for row in batch.itertuples(index=False):
-                block = pixels(row.data, row.nz, row.ny, row.nx).astype("float64")
-                y, x = row.y0 - row.cy * ch, row.x0 - row.cx * cw
-                s = np.frombuffer(row.s, "<f8").reshape(row.fy, row.fx)[y : y + row.ny, x : x + row.nx]
-                t = np.frombuffer(row.t, "<f8").reshape(row.fy, row.fx)[y : y + row.ny, x : x + row.nx]
-                true = np.clip(np.floor((block - t) / np.where(s > 0, s, 1.0) + 0.5), 0, 65535)
-                fixed.append(to_bytes(true))
-            batch = batch.assign(data=fixed)
-            yield batch[names]
+    def correct(row):
+        block = pixels(row.data, row.nz, row.ny, row.nx).astype("float64")
+        y, x = row.y0 - row.cy * ch, row.x0 - row.cx * cw
+        s = np.frombuffer(row.s, "<f8").reshape(row.fy, row.fx)[y : y + row.ny, x : x + row.nx]
+        t = np.frombuffer(row.t, "<f8").reshape(row.fy, row.fx)[y : y + row.ny, x : x + row.nx]
+        true = np.clip(np.floor((block - t) / np.where(s > 0, s, 1.0) + 0.5), 0, 65535)
+        yield tuple(to_bytes(true) if c == "data" else getattr(row, c) for c in names)
 
-    return met.mapInPandas(correct, out)
+    return map_boxes(met, correct, blocks.schema)
 
 
 def channel_average(blocks: DataFrame) -> DataFrame:
@@ -202,16 +194,14 @@ def channel_average(blocks: DataFrame) -> DataFrame:
     schema = T.StructType(
         [*fields_of(blocks, ["acq_id", "tile_index"]), T.StructField("channel", T.IntegerType()), *BOX_FIELDS]
     )
-    names = schema.fieldNames()
 
-    def average(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def average(key, rows):
         total, n = None, 0
-        for batch in batches:
-            for data in batch["data"]:
-                block = np.frombuffer(data, "<u2").astype("int64")
-                total = block if total is None else total + block
-                n += 1
+        for row in rows:
+            block = np.frombuffer(row.data, "<u2").astype("int64")
+            total = block if total is None else total + block
+            n += 1
         mean = (2 * total + n) // (2 * n)
-        yield pd.DataFrame([(*key[:2], -1, *key[2:], to_bytes(mean))], columns=names)
+        yield (*key[:2], -1, *key[2:], to_bytes(mean))
 
-    return blocks.select(*keys, "data").groupBy(*keys).applyInPandas(average, schema)
+    return reduce_boxes(blocks.select(*keys, "data"), keys, average, schema)

@@ -16,13 +16,14 @@ from tilewright.operators.boxes import (
     CELL_FIELDS,
     ORIGIN,
     SHAPE,
-    broadcast_if_bounded,
     cells_covered,
     fields_of,
     pixels,
+    reduce_boxes,
     split_to_grid,
     to_bytes,
 )
+from tilewright.session import cut_lineage
 
 AXES = ("z", "y", "x")
 KEYS = ["acq_id", "channel"]
@@ -58,13 +59,17 @@ def placed_tiles(tiles: DataFrame, positions: DataFrame, cell: tuple[int, int, i
     for a, c, name in zip(AXES, cell, CELL):
         cells = cells.withColumn(name, F.explode(cells_covered(f"at_{a}", F.col(f"at_{a}") + F.col(f"tn_{a}"), c)))
     load = cells.groupBy("acq_id", *CELL).agg(F.count("*").alias("n")).where(F.col("n") > GROUP_LIMIT)
+    if load.isEmpty():
+        return placed.withColumn("salts", F.lit(1).cast("long"))
     group = F.greatest(F.lit(float(GROUP_LIMIT)), F.ceil(F.sqrt("n")))
     salts = (
         cells.join(load, ["acq_id", *CELL])
         .groupBy("acq_id", "tile_index")
         .agg(F.max(F.ceil(F.col("n") / group)).cast("long").alias("salts"))
     )
-    return placed.join(salts, ["acq_id", "tile_index"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    return placed.join(salts, ["acq_id", "tile_index"], "left").withColumn(
+        "salts", F.coalesce("salts", F.lit(1).cast("long"))
+    )
 
 
 def _ramp(lo: int, n: int, size: int) -> np.ndarray:
@@ -124,13 +129,11 @@ def fuse(
     Output coordinates start at the acquisition's low corner.  With ``fill``, voxels that no
     tile covers take the channel's background (its 1st percentile sample), otherwise 0.
     """
-    placed = placed_tiles(tiles, positions, cell)
-    placed = placed.persist()
-    try:
-        salted = placed.agg(F.max("salts").alias("m")).first()["m"] or 1
-        placed_side = broadcast_if_bounded(placed, row_bytes=160)
-    finally:
-        placed.unpersist()
+    placed = cut_lineage(placed_tiles(tiles, positions, cell))
+    facts = placed.agg(F.max("salts").alias("salts"), F.count("*").alias("n")).first()
+    partial = (facts["salts"] or 1) > 1
+    # Tile rows are metadata; they are broadcast to the blocks while their counted size is small.
+    placed_side = F.broadcast(placed) if facts["n"] * 160 <= 256 << 20 else placed
     located = blocks.join(placed_side, ["acq_id", "tile_index"])
     for a in AXES:
         # Remember where the block lies inside its tile: the weights depend on it.
@@ -153,33 +156,31 @@ def fuse(
 
     kind = _Blend if blending else _MaxWeight
     n_arrays = 2 if blending else 3
-    partial = salted > 1
 
     def frame(key_cell, ext):
-        lo = [int(k) * c for k, c in zip(key_cell, cell)]
-        shape = [min(o + c, int(e)) - o for o, c, e in zip(lo, cell, ext)]
+        lo = [k * c for k, c in zip(key_cell, cell)]
+        shape = [min(o + c, e) - o for o, c, e in zip(lo, cell, ext)]
         return lo, shape
 
     def spot(row, lo):
         return tuple(slice(getattr(row, o) - l, getattr(row, o) - l + getattr(row, n)) for o, n, l in zip(ORIGIN, SHAPE, lo))
 
-    def accumulate(batches, cell_key):
+    def accumulate(rows, cell_key):
         state, fill_value = None, 0
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                if state is None:
-                    lo, shape = frame(cell_key, [getattr(row, e) for e in extent])
-                    state = kind(shape)
-                if row.data is None:
-                    fill_value = int(row.background)
-                    continue
-                values = pixels(row.data, row.nz, row.ny, row.nx).astype("int64")
-                ramps = [
-                    _ramp(getattr(row, o) - getattr(row, t), getattr(row, n), getattr(row, s))
-                    for o, t, n, s in zip(ORIGIN, at, SHAPE, size)
-                ]
-                weights = ramps[0][:, None, None] * ramps[1][None, :, None] * ramps[2][None, None, :]
-                state.add(spot(row, lo), values, weights, row.tile_index)
+        for row in rows:
+            if state is None:
+                lo, shape = frame(cell_key, [getattr(row, e) for e in extent])
+                state = kind(shape)
+            if row.data is None:
+                fill_value = row.background
+                continue
+            values = pixels(row.data, row.nz, row.ny, row.nx).astype("int64")
+            ramps = [
+                _ramp(getattr(row, o) - getattr(row, t), getattr(row, n), getattr(row, s))
+                for o, t, n, s in zip(ORIGIN, at, SHAPE, size)
+            ]
+            weights = ramps[0][:, None, None] * ramps[1][None, :, None] * ramps[2][None, None, :]
+            state.add(spot(row, lo), values, weights, row.tile_index)
         return state, lo, shape, fill_value
 
     # One row without samples per output block brings its extent and fill value.
@@ -195,14 +196,12 @@ def fuse(
     out_fields = [*fields_of(crops, KEYS), *CELL_FIELDS, *BOX_FIELDS]
     out_schema = T.StructType(out_fields)
 
-    def fuse_block(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell_key = key[len(KEYS) :]
-        state, lo, shape, value = accumulate(batches, cell_key)
-        data = to_bytes(state.result(value))
-        yield pd.DataFrame([(*key, *lo, *shape, data)], columns=out_schema.fieldNames())
+    def fuse_block(key, rows):
+        state, lo, shape, value = accumulate(rows, key[len(KEYS) :])
+        yield (*key, *lo, *shape, to_bytes(state.result(value)))
 
     if not partial:
-        return rows.groupBy(*KEYS, *CELL).applyInPandas(fuse_block, out_schema)
+        return reduce_boxes(rows, [*KEYS, *CELL], fuse_block, out_schema)
 
     part_names = [f"part_{i}" for i in range(n_arrays)]
     part_schema = T.StructType(
@@ -212,27 +211,22 @@ def fuse(
         ]
     )
 
-    def partial_block(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = key[:-1]
-        cell_key = key[len(KEYS) :]
-        state, lo, shape, value = accumulate(batches, cell_key)
-        parts = [to_bytes(a, "<i8") for a in state.arrays]
-        yield pd.DataFrame([(*key, value, *lo, *shape, *parts)], columns=part_schema.fieldNames())
+    def partial_block(key, rows):
+        state, lo, shape, value = accumulate(rows, key[len(KEYS) : -1])
+        yield (*key[:-1], value, *lo, *shape, *[to_bytes(a, "<i8") for a in state.arrays])
 
-    def merge_block(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merge_block(key, rows):
         state, value = None, 0
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                shape = (row.nz, row.ny, row.nx)
-                lo = (row.z0, row.y0, row.x0)
-                if state is None:
-                    state = kind(shape)
-                value = max(value, int(row.background))
-                state.merge(tuple(slice(0, n) for n in shape), [pixels(getattr(row, p), *shape, "<i8") for p in part_names])
-        yield pd.DataFrame([(*key, *lo, *shape, to_bytes(state.result(value)))], columns=out_schema.fieldNames())
-
-    parts = rows.groupBy(*KEYS, *CELL, "salt").applyInPandas(partial_block, part_schema)
-    return parts.groupBy(*KEYS, *CELL).applyInPandas(merge_block, out_schema)
+        for row in rows:
+            shape, lo = (row.nz, row.ny, row.nx), (row.z0, row.y0, row.x0)
+            state = state or kind(shape)
+            value = max(value, row.background)
+            parts = [pixels(getattr(row, p), *shape, "<i8") for p in part_names]
+            state.merge(tuple(slice(0, n) for n in shape), parts)
+        yield (*key, *lo, *shape, to_bytes(state.result(value)))
+
+    parts = reduce_boxes(rows, [*KEYS, *CELL, "salt"], partial_block, part_schema)
+    return reduce_boxes(parts, [*KEYS, *CELL], merge_block, out_schema)
 
 
 def sample_counts(blocks: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import BOX_FIELDS, CELL, CELL_FIELDS, ORIGIN, SHAPE, fields_of, merge_cells, pixels, to_bytes
+from tilewright.operators.boxes import BOX_FIELDS, CELL, CELL_FIELDS, ORIGIN, SHAPE, fields_of, map_boxes, merge_cells, pixels, to_bytes
 from tilewright.session import cut_lineage
 
 KEYS = ["acq_id", "channel"]
@@ -43,24 +40,18 @@ def level_factors(
 def _reduce_blocks(boxes: DataFrame, step: tuple[int, int, int], cell: tuple[int, int, int], dtype: str) -> DataFrame:
     """Sum ``step``-sized groups of samples inside each block, before any shuffle."""
     schema = T.StructType([*fields_of(boxes, KEYS), *CELL_FIELDS, *BOX_FIELDS])
-    names = schema.fieldNames()
-
-    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                block = pixels(row.data, row.nz, row.ny, row.nx, dtype).astype("int64")
-                lo = []
-                for axis, (name, f, c) in enumerate(zip(ORIGIN, step, cell)):
-                    start = getattr(row, name)
-                    lo.append(start // f)
-                    if f > 1:
-                        block = np.add.reduceat(block, np.arange(0, block.shape[axis], f), axis=axis)
-                where = [o // c for o, c in zip(lo, cell)]
-                out.append((row.acq_id, row.channel, *where, *lo, *block.shape, to_bytes(block, "<i8")))
-            yield pd.DataFrame(out, columns=names)
-
-    return boxes.select(*KEYS, *ORIGIN, *SHAPE, "data").mapInPandas(shrink, schema)
+
+    def shrink(row):
+        block = pixels(row.data, row.nz, row.ny, row.nx, dtype).astype("int64")
+        lo = []
+        for axis, (name, f) in enumerate(zip(ORIGIN, step)):
+            lo.append(getattr(row, name) // f)
+            if f > 1:
+                block = np.add.reduceat(block, np.arange(0, block.shape[axis], f), axis=axis)
+        where = [o // c for o, c in zip(lo, cell)]
+        yield (row.acq_id, row.channel, *where, *lo, *block.shape, to_bytes(block, "<i8"))
+
+    return map_boxes(boxes.select(*KEYS, *ORIGIN, *SHAPE, "data"), shrink, schema)
 
 
 def pyramid(
@@ -103,21 +94,15 @@ def level_means(levels: DataFrame, extents: DataFrame, factors: list[tuple[int,
     rows = levels.join(extents.select("acq_id", *ext), "acq_id")
     keep = [*KEYS, "level", *CELL]
     schema = T.StructType([*fields_of(levels, keep), *BOX_FIELDS])
-    names = schema.fieldNames()
-
-    def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                sums = pixels(row.data, row.nz, row.ny, row.nx, "<i8")
-                held = []
-                for o, n, f, e in zip(ORIGIN, SHAPE, scale[row.level], ext):
-                    start = (np.arange(getattr(row, n)) + getattr(row, o)) * f
-                    held.append(np.minimum(start + f, getattr(row, e)) - start)
-                count = held[0][:, None, None] * held[1][None, :, None] * held[2][None, None, :]
-                mean = (2 * sums + count) // (2 * count)
-                kept = tuple(getattr(row, c) for c in keep)
-                out.append((*kept, row.z0, row.y0, row.x0, *mean.shape, to_bytes(mean)))
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.select(*keep, *ORIGIN, *SHAPE, "data", *ext).mapInPandas(divide, schema)
+
+    def divide(row):
+        sums = pixels(row.data, row.nz, row.ny, row.nx, "<i8")
+        held = []
+        for o, n, f, e in zip(ORIGIN, SHAPE, scale[row.level], ext):
+            start = (np.arange(getattr(row, n)) + getattr(row, o)) * f
+            held.append(np.minimum(start + f, getattr(row, e)) - start)
+        count = held[0][:, None, None] * held[1][None, :, None] * held[2][None, None, :]
+        mean = (2 * sums + count) // (2 * count)
+        yield (*[getattr(row, c) for c in keep], row.z0, row.y0, row.x0, *mean.shape, to_bytes(mean))
+
+    return map_boxes(rows.select(*keep, *ORIGIN, *SHAPE, "data", *ext), divide, schema)

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import crop_boxes, paste
+from tilewright.operators.boxes import crop_boxes, paste, reduce_boxes
 
 AXES = ("z", "y", "x")
 
@@ -138,22 +136,21 @@ def pair_shifts(
             T.StructField("valid", T.BooleanType()),
         ]
     )
-    names = schema.fieldNames()
 
-    def match(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches))
-        left, right = rows[rows["side"] == "i"], rows[rows["side"] == "j"]
-        if left.empty or right.empty:
+    def match(key, rows):
+        rows = list(rows)
+        left, right = [r for r in rows if r.side == "i"], [r for r in rows if r.side == "j"]
+        if not left or not right:
             return
-        a, oa = paste([left], dtype=dtype)
-        b, ob = paste([right], dtype=dtype)
+        a, oa = paste(left, dtype)
+        b, ob = paste(right, dtype)
         a, b = a.astype("float64"), b.astype("float64")
         shifts = _window(search) if method == "ncc" else _phase_peaks(a, b, oa, ob, search, top_peaks)
         score, shift, n = _best(a, b, oa, ob, shifts, min_overlap)
-        yield pd.DataFrame([(*key, *shift, score, n, score >= threshold)], columns=names)
+        yield (*key, *shift, score, n, score >= threshold)
 
     # Both sides of a pair travel in one shuffle, told apart by `side`.
-    return crops.groupBy("acq_id", "i", "j").applyInPandas(match, schema)
+    return reduce_boxes(crops, ["acq_id", "i", "j"], match, schema)
 
 
 def to_links(tiles: DataFrame, shifts: DataFrame, acquisition_keys=("acq_id",)) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,8 @@ def get_spark(app: str = "tilewright", cores: int | None = None, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rows carry whole pixel blocks: bound Arrow batches by bytes, not by row count alone.
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -29,6 +33,16 @@ def get_spark(app: str = "tilewright", cores: int | None = None, **conf: str) ->
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package (the ``--py-files`` of a submitted job), once per session."""
+    if spark.conf.get("tilewright.shipped", None):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="tilewright-py-"), "tilewright_package")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "tilewright"))
+    spark.conf.set("tilewright.shipped", "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
