@@ -20,7 +20,7 @@ def connect(sf_dir: str):
 
 
 def _norm(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return None
     if hasattr(value, "item"):
         value = value.item()

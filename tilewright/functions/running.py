@@ -28,24 +28,20 @@ def running_sum(
     return joined.select(*df.columns, *[(F.col(f"_i_{o}") + F.col(f"_b_{o}")).alias(o) for o in values])
 
 
-def file_row_numbers(df: DataFrame, name: str = "line_no", first: int = 1) -> DataFrame:
+def file_row_numbers(df: DataFrame, name: str = "line_no", first: int = 1, across_files: bool = False) -> DataFrame:
     """Number rows in file order without sorting them into one task.
 
     ``df`` must carry ``_file`` and ``_start`` (file name and split start of each row, from
     ``_metadata``).  Rows of one split keep their read order; splits are numbered by their
-    place in the file.  One row per split is ranked, not one per line.
+    place in the file, or through all files by name with ``across_files``.  What is ranked
+    is one row per split, not one per line.
     """
     rows = df.withColumn("_seq", F.monotonically_increasing_id())
     # Within a split ids are consecutive, so the offset from the split's first id is exact.
     splits = rows.groupBy("_file", "_start").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
-    order = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select(
-        "_file", "_start", "_first", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before")
-    )
+    window = Window.orderBy("_file", "_start") if across_files else Window.partitionBy("_file").orderBy("_start")
+    before = F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("_file", "_start", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
     numbered = rows.join(splits, ["_file", "_start"])
     number = F.col("_seq") - F.col("_first") + F.col("_before") + F.lit(first)
     return numbered.select(*df.columns, number.cast("long").alias(name))
-
-
-def ceil_div(a: Column, b: int) -> Column:
-    return F.floor((a + (b - 1)) / b)

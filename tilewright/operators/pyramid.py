@@ -25,7 +25,7 @@ def level_factors(
     size, factors = list(size), []
     while any(n > b for n, b in zip(size, block)):
         sx *= 2
-        halve_z = abs(2 * sz - sx) < abs(sz - sx)
+        halve_z = size[0] > 1 and abs(2 * sz - sx) < abs(sz - sx)
         if halve_z:
             sz *= 2
         step = (2 if halve_z else 1, 2, 2)

@@ -96,3 +96,15 @@ def list_conformance(rows: DataFrame, observed: str, required: list[str]) -> Dat
             "overlaps": F.arrays_overlap(want, observed),
         }
     )
+
+
+def order_conformance(rows: DataFrame, key: str, item: str, position: str, required: list[str]) -> DataFrame:
+    """The same checks for lists held as rows: first positions are partial aggregates per key."""
+    first = [F.min(F.when(F.col(item) == r, F.col(position))).alias(f"_p{k}") for k, r in enumerate(required)]
+    seen = rows.groupBy(key).agg(*first)
+    places = [F.coalesce(F.col(f"_p{k}"), F.lit(-1)) for k in range(len(required))]
+    wrong = F.lit(False)
+    for a, b in zip(places, places[1:]):
+        wrong = wrong | ~(a < b)
+    absent = F.array_compact(F.array(*[F.when(F.col(f"_p{k}").isNull(), r) for k, r in enumerate(required)]))
+    return seen.select(key, absent.alias("missing"), wrong.alias("order_violation"))

@@ -62,7 +62,7 @@ def read_samplesheet(spark: SparkSession, path: str, multi_line: bool = False) -
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
     )
-    numbered = file_row_numbers(cells, "line_no", first=2).drop("_file", "_start")
+    numbered = file_row_numbers(cells, "line_no", first=2, across_files=True).drop("_file", "_start")
     for name in OPTIONAL:
         if name not in header:
             numbered = numbered.withColumn(name, F.lit(None).cast("string"))
@@ -76,8 +76,10 @@ def read_validated(spark: SparkSession, path: str, columns: list[str]) -> DataFr
     return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
-def write_samplesheet(sheet: DataFrame, path: str, header: list[str] | None = None, single_file: bool = False) -> None:
-    """Comma-separated, header in input order, rows in line order.
+def write_samplesheet(
+    sheet: DataFrame, path: str, header: list[str] | None = None, single_file: bool = False, sep: str = ","
+) -> None:
+    """Comma-separated by default, header in input order, rows in line order.
 
     Part files are range-partitioned by line, so their names sort into row order.
     ``single_file`` is for sheets that one task can write.
@@ -86,9 +88,9 @@ def write_samplesheet(sheet: DataFrame, path: str, header: list[str] | None = No
     ordered = sheet.orderBy("line_no")
     if single_file:
         ordered = ordered.coalesce(1)
-    ordered.select(*header).write.mode("overwrite").option("header", True).option("emptyValue", "").option(
-        "quote", '"'
-    ).option("escape", '"').csv(path)
+    options = {"header": True, "emptyValue": "", "quote": '"', "escape": '"'}
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ordered.select(*header).write.mode("overwrite").options(**options, **blanks, sep=sep).csv(path)
 
 
 def source_path(spark: SparkSession, path: str | None, schema: T.StructType | str, reader: str = "text") -> DataFrame:
