@@ -72,11 +72,8 @@ STREAM_BARRIER = f"with {_NEED} select id, n as n_members, 'complete' as status
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each acquisition's rows published by themselves once it is complete."""
     staged, target = _arrivals(spark, sf_dir), staging_path(spark, "published")
-    query = (
-        _barrier(spark, staged).writeStream.foreachBatch(S.publish_complete(staged, target, "id"))
-        .option("checkpointLocation", staging_path(spark, "publish-state")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    writer = _barrier(spark, staged).writeStream.foreachBatch(S.publish_complete(staged, target, "id"))
+    S.drain(spark, writer.option("checkpointLocation", staging_path(spark, "publish-state")))
     return spark.read.schema("filename string, expected bigint, id string").parquet(target).select("id", "filename")
 
 

@@ -110,13 +110,27 @@ def publish_complete(staged_path: str, target: str, key: str):
     return publish
 
 
+def drain(spark: SparkSession, writer) -> None:
+    """Process what is there, then stop.
+
+    A processing-time timer asks for another batch after every batch, so a drained query
+    would never end: batches without data are switched off for it.  Waits then end only in
+    a query that keeps running.
+    """
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(setting, before)
+    query.awaitTermination()
+
+
 def run_to_table(stream: DataFrame, target: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Drain what is there into Parquet and return it."""
-    query = (
-        stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .outputMode(mode).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    drain(stream.sparkSession, writer.outputMode(mode))
     return stream.sparkSession.read.schema(stream.schema).parquet(target)
 
 
