@@ -161,6 +161,8 @@ def field_blocks(field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
 def apply_field(blocks: DataFrame, field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
     """Corrected blocks: ``(v - T) / S``, never below 0, rounded half up.
 
+    ``cell_yx`` is the grid the blocks lie on.
+
     The field is small (one image per channel) next to the blocks; it is broadcast when its
     counted size allows, so the blocks are not shuffled.
     """
