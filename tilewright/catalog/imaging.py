@@ -65,7 +65,7 @@ def channel_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHANNEL_FILTER = f"""with {V.STACK}
-select channel, y, x, count(*) as n, sum(v) as sum_v from stack where channel = 3 group by all"""
+select channel, y, x, count(*) as n, cast(sum(v) as bigint) as sum_v from stack where channel = 3 group by all"""
 
 
 def axis_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +103,8 @@ def blocks_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BLOCKS_SPLIT = f"""with {V.STACK}
-select z // 16 as cz, y // 4 as cy, x // 4 as cx, count(*) as n, sum(v) as sum_v, sum(v * (x + 10 * y + 100 * z)) as moment
+select z // 16 as cz, y // 4 as cy, x // 4 as cx, count(*) as n, cast(sum(v) as bigint) as sum_v,
+  cast(sum(v * (x + 10 * y + 100 * z)) as bigint) as moment
 from stack group by all"""
 
 
@@ -133,7 +134,7 @@ def channel_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHANNEL_METADATA = """select vec_id % 4 as channel, count(distinct vec_id // 4) as n_tiles, count(*) as n_blocks,
-       1 as size_z, 8 as size_y, 8 as size_x, count(*) * 128 as n_bytes from embeddings group by 1"""
+       1::bigint as size_z, 8::bigint as size_y, 8::bigint as size_x, count(*) * 128 as n_bytes from embeddings group by 1"""
 
 
 # --- flatfield ---------------------------------------------------------------------------

@@ -259,7 +259,7 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-INVENTORY = """select source, lang, sum(length(cast(doc_id as varchar)) + 1) as n_bytes, true as hashed from documents group by all"""
+INVENTORY = """select source, lang, cast(sum(length(cast(doc_id as varchar)) + 1) as bigint) as n_bytes, true as hashed from documents group by all"""
 
 
 # --- rules -------------------------------------------------------------------------------

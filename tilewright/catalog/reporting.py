@@ -248,7 +248,7 @@ def run_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUN_STAGES = f"""with {V.RUN_TRACE} select stage, count(*) as n, strftime(min(ended), '%Y-%m-%d_%H-%M-%S') as first,
-  strftime(max(ended), '%Y-%m-%d_%H-%M-%S') as last, sum(cast(round(value * 100) as bigint)) as cents from run_trace group by 1"""
+  strftime(max(ended), '%Y-%m-%d_%H-%M-%S') as last, cast(sum(cast(round(value * 100) as bigint)) as bigint) as cents from run_trace group by 1"""
 
 
 def run_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

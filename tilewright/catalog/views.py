@@ -184,7 +184,7 @@ def run_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- DuckDB text of the same views -------------------------------------------------------
 
 EMB_PX = """emb_px as (
-  select vec_id, label, cast(k - 1 as int) as i, cast(floor(cast(embedding[k] as double) * 1000) as int) + 1000 as px
+  select vec_id, label, cast(k - 1 as bigint) as i, cast(floor(cast(embedding[k] as double) * 1000) as bigint) + 1000 as px
   from embeddings, (select unnest(range(1, 65)) as k))"""
 STACK = EMB_PX + """,
 stack as (select label as channel, vec_id as z, i // 8 as y, i % 8 as x, px as v from emb_px)"""
