@@ -25,8 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _patches(spark: SparkSession, sf_dir: str, acq: str, **cols) -> DataFrame:
     """Each embedding as one 1x8x8 box of quantised samples; placement by column expression."""
+    # The key depends on the row, as in stored tables: a literal would be folded out of joins.
     placed = table(spark, sf_dir, "embeddings").select(
-        F.lit(acq).alias("acq_id"),
+        F.when(F.col("vec_id") >= 0, acq).alias("acq_id"),
         cols["tile_index"].cast("long").alias("tile_index"),
         cols["channel"].cast("int").alias("channel"),
         cols["z0"].cast("long").alias("z0"),
@@ -88,7 +89,7 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = rows.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long"))))
     r, c = F.col("r"), F.col("c")
     return grid.select(
-        F.lit("scene").alias("acq_id"),
+        F.when(r >= 0, "scene").alias("acq_id"),
         (r * 6 + c).alias("tile_index"),
         "r", "c",
         F.lit(0).cast("long").alias("pos_z"),
