@@ -3,12 +3,7 @@
 
 def all_queries() -> dict:
     """Name -> (callable of session and folder, DuckDB text or None)."""
-    from tilewright.catalog import imaging
+    from tilewright.catalog import imaging, ingest, reporting, streams
 
-    groups = [imaging.QUERIES]
-    for module in ("ingest", "reporting", "streams"):
-        try:
-            groups.append(__import__(f"tilewright.catalog.{module}", fromlist=["QUERIES"]).QUERIES)
-        except ModuleNotFoundError:
-            pass
+    groups = [ingest.QUERIES, imaging.QUERIES, reporting.QUERIES, streams.QUERIES]
     return {name: pair for group in groups for name, pair in group.items()}

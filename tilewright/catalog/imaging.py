@@ -15,7 +15,7 @@ from tilewright.operators.fuse import fuse
 from tilewright.operators.overlap import overlap_pairs
 from tilewright.operators.pyramid import level_factors, level_means, pyramid
 from tilewright.operators.register import pair_crops, pair_shifts, to_links, top_per_pair
-from tilewright.operators.solve import components, residuals, solve_positions, solve_with_pruning
+from tilewright.operators.solve import components, solve_positions, solve_with_pruning
 from tilewright.session import cut_lineage
 
 SEARCH = (0, 4, 4)
