@@ -169,21 +169,19 @@ def certified_cutoffs(
     ).select("lang", "quality", "f.rule", "f.x")
     per_rule = {r: F.array(*[F.lit(float(c)) for c in cs]) for r, cs in grid.items()}
     cutoffs = reduce(lambda a, rule: F.when(F.col("rule") == rule, per_rule[rule]).otherwise(a), grid, F.lit(None).cast("array<double>"))
-    counted = (
+    counted = stored(
         long.select("lang", "rule", "quality", "x", F.explode(cutoffs).alias("cutoff"))
         .groupBy("lang", "rule", "cutoff")
         .agg(
             F.count_if(F.col("quality") == 1).alias("n"),
             F.count_if((F.col("quality") == 1) & (F.col("x") >= F.col("cutoff"))).alias("k"),
             F.count_if((F.col("quality") != 1) & (F.col("x") >= F.col("cutoff"))).alias("caught"),
-        )
+        ),
+        "quality-counts",
     )
-    share_of_risk = risk / len(grid)
-    tests = counted.agg(F.count(F.lit(1)).alias("tests"))
-    # one row per stratum, rule and cutoff, and one row of their number
-    judged = counted.join(F.broadcast(tests), F.lit(True))
+    share_of_risk, tests = risk / len(grid), max(1, counted.count())
     tail = F.when((F.col("n") > 0) & (F.col("k") < F.col("n") * share_of_risk), binomial_tail(F.col("n"), F.col("k"), share_of_risk)).otherwise(F.lit(1.0))
-    admissible = judged.withColumn("tail", tail).where((F.col("tail") <= delta / F.col("tests")) & (F.col("caught") > COST * F.col("k")))
+    admissible = counted.withColumn("tail", tail).where((F.col("tail") <= delta / tests) & (F.col("caught") > COST * F.col("k")))
     best = F.max_by(F.struct("cutoff", "n", "k", "caught", "tail"), F.struct(F.col("caught") - COST * F.col("k"), F.col("cutoff")))
     return admissible.groupBy("lang", "rule").agg(best.alias("b")).select("lang", "rule", "b.*")
 

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tilewright.llm import decontamination as leaks
 from tilewright.llm import license_scan as licenses
+from tilewright.llm import line_dedup as lines
+from tilewright.llm import near_dup as near
 from tilewright.llm import oracles
 from tilewright.llm import quality_rules as rules
+from tilewright.llm import substring_dedup as substrings
 from tilewright.llm.shared import table
 
 
@@ -14,6 +19,23 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -24,5 +46,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Name -> (callable of session and folder, DuckDB text or None)
 QUERIES = {
     "op1_license_scan": (op1_license_scan, oracles.license_scan()),
+    "op3_line_dedup": (op3_line_dedup, None),
+    "op5_substring_dedup": (op5_substring_dedup, None),
+    "op8_near_dedup": (op8_near_dedup, None),
+    "op9_decontamination": (op9_decontamination, None),
     "op10_quality_rules": (op10_quality_rules, oracles.quality_rules()),
 }
