@@ -9,10 +9,10 @@ from tilewright.llm import decontamination as leaks
 from tilewright.llm import license_scan as licenses
 from tilewright.llm import line_dedup as lines
 from tilewright.llm import near_dup as near
-from tilewright.llm import oracles
+from tilewright.llm import oracles, packing, token_files
 from tilewright.llm import quality_rules as rules
 from tilewright.llm import substring_dedup as substrings
-from tilewright.llm.shared import table
+from tilewright.llm.shared import staging_path, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +23,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = staging_path(spark, "token-files")
+    parts = token_files.write_token_files(table(spark, sf_dir, "documents"), folder)
+    return token_files.read_token_files(spark, folder, parts)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,7 +57,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": (op1_license_scan, oracles.license_scan()),
     "op3_line_dedup": (op3_line_dedup, None),
+    "op4_token_files": (op4_token_files, None),
     "op5_substring_dedup": (op5_substring_dedup, None),
+    "op6_packing": (op6_packing, None),
     "op8_near_dedup": (op8_near_dedup, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality_rules": (op10_quality_rules, oracles.quality_rules()),
