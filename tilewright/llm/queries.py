@@ -10,9 +10,10 @@ from tilewright.llm import license_scan as licenses
 from tilewright.llm import line_dedup as lines
 from tilewright.llm import near_dup as near
 from tilewright.llm import oracles, packing, token_files
+from tilewright.llm import quality_model as model
 from tilewright.llm import quality_rules as rules
 from tilewright.llm import substring_dedup as substrings
-from tilewright.llm.shared import staging_path, table
+from tilewright.llm.shared import held_out, staging_path, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = model.score(documents, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), *model.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -60,6 +72,7 @@ QUERIES = {
     "op4_token_files": (op4_token_files, None),
     "op5_substring_dedup": (op5_substring_dedup, None),
     "op6_packing": (op6_packing, None),
+    "op7_quality_model": (op7_quality_model, None),
     "op8_near_dedup": (op8_near_dedup, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality_rules": (op10_quality_rules, oracles.quality_rules()),
