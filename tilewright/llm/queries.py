@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tilewright.llm import decontamination as leaks
 from tilewright.llm import license_scan as licenses
 from tilewright.llm import line_dedup as lines
+from tilewright.llm import mixing_model as mixing
 from tilewright.llm import near_dup as near
 from tilewright.llm import oracles, packing, token_files
 from tilewright.llm import quality_model as model
@@ -20,6 +21,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
@@ -68,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Name -> (callable of session and folder, DuckDB text or None)
 QUERIES = {
     "op1_license_scan": (op1_license_scan, oracles.license_scan()),
+    "op2_lm_scores": (op2_lm_scores, None),
     "op3_line_dedup": (op3_line_dedup, None),
     "op4_token_files": (op4_token_files, None),
     "op5_substring_dedup": (op5_substring_dedup, None),

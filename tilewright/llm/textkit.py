@@ -101,10 +101,10 @@ def row_slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[slice]:
         row = stop
 
 
-def words(column: pa.Array | pa.ChunkedArray) -> Iterator[Words]:
+def words(column: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES) -> Iterator[Words]:
     """The words of a string column, slice by slice; every row is in exactly one slice."""
     data, offsets = ragged(column)
-    for rows in row_slices(offsets):
+    for rows in row_slices(offsets, most):
         local = offsets[rows.start : rows.stop + 1] - offsets[rows.start]
         part = data[offsets[rows.start] : offsets[rows.stop]]
         black = ~_WHITE[part]
