@@ -32,7 +32,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import textkit
+from tilewright.llm import dense, textkit
 from tilewright.llm.shared import held_out, stored
 
 HELD_OUT = (7, 2)
@@ -51,7 +51,6 @@ _PRIOR = 0.4
 _CLIP = 8.0
 _END = np.uint64(0x5EED0E4D0C5EED01)
 _START = np.uint64(0x5EED5747A27C0DE5)
-_CHUNK = 1 << 18
 _CELLS = LEAVES * (BEFORE + EARLIER)
 _MATCH = 2 * (CODE_BITS + 1)
 
@@ -121,41 +120,7 @@ def _context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             np.add.at(cells, c.before * LEAVES + c.code, 1)
             np.add.at(cells, (BEFORE + c.earlier) * LEAVES + c.code, 1)
             match += np.bincount(c.run * (CODE_BITS + 1) + c.agree, minlength=_MATCH)
-    yield from _chunks(np.concatenate([cells, match]))
-
-
-def _chunks(values: np.ndarray) -> Iterator[pa.RecordBatch]:
-    codec = pa.Codec("zstd")
-    for at in range(0, len(values), _CHUNK):
-        part = values[at : at + _CHUNK]
-        if part.any():
-            small = part.astype(np.int32) if part.max() < 1 << 31 else part
-            packed = codec.compress(small.tobytes(), asbytes=True)
-            yield pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([at // _CHUNK], pa.int32()), "wide": pa.array([small.itemsize], pa.int32()), "packed": pa.array([packed], pa.binary())}
-            )
-
-
-def _unpacked(size: int, wide: int, packed) -> np.ndarray:
-    raw = pa.Codec("zstd").decompress(packed, size * wide)
-    return np.frombuffer(raw, dtype=np.int32 if wide == 4 else np.int64).astype(np.int64)
-
-
-def _add_chunks(total: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, wide, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                part = _unpacked(min(_CHUNK, total - chunk * _CHUNK), wide, packed.as_buffer())
-                if chunk in sums:
-                    sums[chunk] += part
-                else:
-                    sums[chunk] = part.copy()
-        for chunk, part in sums.items():
-            for row in _chunks(part):
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *row.columns[1:]], names=row.schema.names)
-
-    return run
+    yield from dense.rows(np.concatenate([cells, match]))
 
 
 class Tables:
@@ -165,12 +130,20 @@ class Tables:
         leaves = cells.reshape(BEFORE + EARLIER, LEAVES)
         left, right = self._branches(leaves)
         top = np.iinfo(np.int32).max
-        self.left, self.right = np.minimum(left, top).astype(np.int32), np.minimum(right, top).astype(np.int32)
+        self.packed = [dense.Packed(np.minimum(x, top).astype(np.int32)) for x in (left, right)]
         self.left0, self.right0 = left[:BEFORE].sum(0), right[:BEFORE].sum(0)
         histogram = match.reshape(2, CODE_BITS + 1)
         alive = histogram[:, ::-1].cumsum(1)[:, ::-1]  # agreeing in at least d bits
         self.hits, self.misses = alive[:, 1:], histogram[:, :-1]
 
+    @property
+    def left(self) -> np.ndarray:
+        return self.packed[0].values
+
+    @property
+    def right(self) -> np.ndarray:
+        return self.packed[1].values
+
     @staticmethod
     def _branches(leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = np.zeros_like(leaves), np.zeros_like(leaves)
@@ -368,13 +341,7 @@ def train(documents: DataFrame) -> tuple[DataFrame, Broadcast, int, int]:
     )
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
 
-    size, schema = _CELLS + _MATCH, "chunk int, wide int, packed binary"
-    chunks = -(-size // _CHUNK)
-    added = texts.mapInArrow(_context_counts, schema).repartition(chunks, "chunk").mapInArrow(_add_chunks(size), schema)
-    values = np.zeros(size, dtype=np.int64)
-    for r in added.toLocalIterator():
-        at = r.chunk * _CHUNK
-        values[at : at + _CHUNK] = _unpacked(min(_CHUNK, size - at), r.wide, bytes(r.packed))
+    values = dense.total(texts.mapInArrow(_context_counts, dense.SCHEMA), _CELLS + _MATCH)
     tables = Tables(values[:_CELLS], values[_CELLS:])
     shared = context.broadcast(tables)
 

@@ -4,12 +4,14 @@ The set of a document is its distinct runs of five lower-cased words (with fewer
 sequence). Two small collections of ``HALVES`` half keys are made of ``ROWS`` minhashes each; the
 keys of the hash tables are all pairs of a half key of the first and one of the second collection.
 ``HALVES ** 2`` tables of ``2 * ROWS`` rows thus cost ``2 * HALVES * ROWS`` minhashes. A pair of
-similarity ``s`` meets with probability ``(1 - (1 - s ** ROWS) ** HALVES) ** 2``: 0.9995 at 0.75.
+similarity ``s`` meets with probability ``(1 - (1 - s ** ROWS) ** HALVES) ** 2``: 0.9988 at 0.75, 0.9998 at 0.8.
 
 Documents of equal sets form a class and are represented by its smallest id. Within a table key,
-every class is first compared with the smallest of the key. What is linked so far is united, and
-then only the pairs of a key that are still in different components are compared, so groups of
-copies are not expanded into all pairs and no candidate pair of different components is left out.
+every class is first compared with the smallest of the key. What is linked so far is united. Classes
+that share a key with one of another component are then compared across components, where they also
+share one of their rarest shingles: the first quarter of a set in order of rarity must meet that of
+any set of similarity 0.75, so no link is lost, and large groups of copies or of texts that are only
+half alike are not expanded into all pairs.
 
 Defined cases: null or blank texts have no set and are linked with nothing; rows with a null
 ``doc_id`` are left out; of a repeated ``doc_id`` each row is judged by its own text; columns other than ``doc_id`` and ``text`` are not read.
@@ -21,17 +23,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import textkit
+from tilewright.llm import dense, textkit
 from tilewright.llm.components import components
 from tilewright.llm.shared import stored
 
 SHINGLE = 5
-HALVES = 10
+HALVES = 9
 ROWS = 2
 PERCENT = 75
+#: Cells (a power of two) of the table by which shingles are called rare.
+SKETCH_LOG = 22
 
 _SALT = np.uint64(0xA24BAED4963EE407)
 
@@ -131,45 +136,76 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << SKETCH_LOG, dtype=np.int64)
+    for batch in batches:
+        hashes = np.asarray(batch.column(0).flatten()).view(np.uint64)
+        np.add.at(counts, hashes >> np.uint64(64 - SKETCH_LOG), 1)
+    yield from dense.rows(counts)
+
+
+def _rarest(sketch: Broadcast, percent: int) -> Callable:
+    """A row for each shingle of the prefix, but for those that no other class can have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sketch.value.values
+        for batch in batches:
+            prefixes, rows, sizes, places = [np.zeros(0, dtype=np.uint64)], [], [], [np.zeros(0, dtype=np.int64)]
+            for row, shingles in enumerate(batch.column(2)):
+                hashes = np.asarray(shingles.values).view(np.uint64)
+                n = len(hashes)
+                seen = counts[hashes >> np.uint64(64 - SKETCH_LOG)]
+                first = np.lexsort((hashes, seen))[: n - (percent * n + 99) // 100 + 1]
+                place = np.flatnonzero(seen[first] > 1)
+                prefix = hashes[first[place]]
+                prefixes.append(prefix)
+                places.append(place)
+                rows.extend([row] * len(prefix))
+                sizes.extend([n] * len(prefix))
+            at = pa.array(rows, pa.int64())
+            columns = [pa.array(np.concatenate(prefixes).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)]
+            columns += [pa.array(sizes, pa.int32()), pa.array(np.concatenate(places), pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "class", "component", "n", "i"])
+
+    return run
+
+
 def linked_classes(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, name: str) -> DataFrame:
     """node, component of the classes that share a key and are similar enough.
 
-    ``keyed`` has key, class and n (size of the set, for a bound on the similarity); ``sets_of``
-    turns a frame of ``class`` into class, shingles.
+    ``keyed`` has key and class; ``sets_of`` turns a frame of ``class`` into class, shingles.
     """
-    heads = keyed.groupBy("key").agg(F.min(F.struct("class", "n")).alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    members = stored(
-        keyed.join(heads, "key").select("key", "class", "n", F.col("head.class").alias("head"), F.col("head.n").alias("head_n")),
-        f"{name}-members",
-    )
+    heads = keyed.groupBy("key").agg(F.min("class").alias("head"), F.max("class").alias("last")).where("head < last")
+    members = stored(keyed.join(heads.select("key", "head"), "key").distinct(), f"{name}-members")
     sets = stored(sets_of(members.select("class").distinct()), f"{name}-sets")
-    alike = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    stars = (
-        members.where("class <> head")
-        .select(F.col("head").alias("a"), F.col("class").alias("b"), "n", F.col("head_n").alias("m"))
-        .where(alike)
-        .select("a", "b")
-        .distinct()
-    )
+    stars = members.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
     first_links = stored(confirmed(stars, sets, percent), f"{name}-stars")
     united = components(first_links)
 
     labelled = members.join(united.withColumnRenamed("node", "class"), "class", "left").select(
-        "key", "class", "n", F.coalesce("component", "class").alias("component")
+        "key", "class", F.coalesce("component", "class").alias("component")
     )
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = stored(labelled.join(mixed.select("key"), "key"), f"{name}-rest")
+    apart = stored(labelled.join(mixed.select("key"), "key", "left_semi").select("class", "component").distinct(), f"{name}-apart")
+    # two sets that are similar enough share one of their rarest shingles, in any order that is the same for all
+    apart_sets = sets.join(apart, "class").select("class", "component", "shingles")
+    sketch = dense.total(apart_sets.select("shingles").mapInArrow(_sketch, dense.SCHEMA), 1 << SKETCH_LOG)
+    rarest = _rarest(keyed.sparkSession.sparkContext.broadcast(dense.Packed(sketch.astype(np.int32))), percent)
+    prefixes = stored(apart_sets.mapInArrow(rarest, "key long, class long, component long, n int, i int"), f"{name}-prefixes")
+    several = prefixes.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rest = prefixes.join(several.select("key"), "key", "left_semi")
     sides = rest.select("key", F.col("component").alias("other")).distinct()
     crossing = (
         rest.join(sides, "key")
         .where("component < other")
         .join(
-            rest.select("key", F.col("class").alias("c"), F.col("n").alias("m"), F.col("component").alias("other")), ["key", "other"]
+            rest.select("key", F.col("class").alias("c"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("component").alias("other")),
+            ["key", "other"],
         )
-        .where(alike)
+        # what can still be common from the first common shingle on; it also bounds the sizes
+        .where(f"{100 + percent} * least(n - i, m - j) >= {percent} * (n + m)")
         .select(F.least("class", "c").alias("a"), F.greatest("class", "c").alias("b"))
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
     )
     return components(stored(first_links.unionByName(confirmed(crossing, sets, percent)), f"{name}-links"))
 
@@ -182,9 +218,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .groupBy("d1", "d2", "n_shingles")
         .agg(F.min("doc_id").alias("class"), F.first("left").alias("left"), F.first("right").alias("right"))
     )
-    halves = classes.select("class", "n_shingles", F.posexplode("left").alias("i", "x"), "right")
-    keyed = halves.select("class", "n_shingles", "i", "x", F.posexplode("right").alias("j", "y")).select(
-        F.xxhash64("i", "x", "j", "y").alias("key"), "class", F.col("n_shingles").cast("int").alias("n")
+    halves = classes.select("class", F.posexplode("left").alias("i", "x"), "right")
+    keyed = halves.select("class", "i", "x", F.posexplode("right").alias("j", "y")).select(
+        F.xxhash64("i", "x", "j", "y").alias("key"), "class"
     )
 
     def sets_of(wanted: DataFrame) -> DataFrame:
