@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from tilewright.llm.dense import Packed
+
 #: Bits of one row of the build.
 CHUNK_LOG = 22
 _CHUNK_BYTES = 1 << (CHUNK_LOG - 3)
@@ -22,8 +24,9 @@ def _slots(hashes: np.ndarray, log_bits: int) -> np.ndarray:
     return hashes >> np.uint64(64 - log_bits)
 
 
-def contains(table: np.ndarray, hashes: np.ndarray, log_bits: int) -> np.ndarray:
+def contains(built: Broadcast, hashes: np.ndarray, log_bits: int) -> np.ndarray:
     """Whether the table has the bit of each hash."""
+    table = built.value.values
     slots = _slots(hashes, log_bits)
     return (table[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
@@ -70,4 +73,4 @@ def build(hashes: DataFrame, log_bits: int) -> Broadcast:
     for row in merged.toLocalIterator():
         bits = np.frombuffer(codec.decompress(bytes(row.bits), _CHUNK_BYTES), dtype=np.uint8)
         table[row.chunk * _CHUNK_BYTES : (row.chunk + 1) * _CHUNK_BYTES] = bits
-    return hashes.sparkSession.sparkContext.broadcast(table)
+    return hashes.sparkSession.sparkContext.broadcast(Packed(table))

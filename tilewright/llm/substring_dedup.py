@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm import bitfilter, textkit
+from tilewright.llm.shared import stored
 
 BLOCK = 25
 WINDOW = 2 * BLOCK
-#: Sizes of the two bit tables that keep probes without a partner out of the shuffle.
+#: Sizes of the bit tables that keep probes and texts without a partner out of the shuffle.
 BLOCK_LOG_BITS = 29
 SHARED_LOG_BITS = 27
+DOC_LOG_BITS = 25
 
 
 def _windows(w: textkit.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -57,7 +59,7 @@ def _probes(table: Broadcast) -> Callable:
             ids = np.asarray(batch.column(0))
             for w in textkit.words(batch.column(1)):
                 _, blocks, at, rows = _windows(w)
-                hit = bitfilter.contains(table.value, blocks, BLOCK_LOG_BITS)
+                hit = bitfilter.contains(table, blocks, BLOCK_LOG_BITS)
                 blocks, at, rows = blocks[hit], at[hit], rows[hit]
                 docs = ids[w.rows][rows]
                 own = (at - w.first[rows]) % BLOCK == 0
@@ -84,7 +86,7 @@ def _extensions(table: Broadcast) -> Callable:
             ids = np.asarray(batch.column(0))
             for w in textkit.words(batch.column(1)):
                 hashes, blocks, at, _ = _windows(w)
-                at = at[bitfilter.contains(table.value, blocks, SHARED_LOG_BITS)]
+                at = at[bitfilter.contains(table, blocks, SHARED_LOG_BITS)]
                 step = np.zeros(len(hashes) + 1, dtype=np.int64)
                 np.add.at(step, np.maximum(at - BLOCK + 1, 0), 1)
                 np.add.at(step, at + 1, -1)
@@ -105,6 +107,15 @@ def _extensions(table: Broadcast) -> Callable:
     return run
 
 
+def _split(table: Broadcast, inside: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = bitfilter.contains(table, np.asarray(batch.column(2)).view(np.uint64), DOC_LOG_BITS)
+            yield batch.select([0, 1]).filter(pa.array(hit == inside))
+
+    return run
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = batch.column(2)
@@ -159,5 +170,12 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     first = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     repeated = windows.join(first.select("window", "low"), "window").where("doc_id > low")
     per_doc = repeated.groupBy("doc_id").agg(F.collect_list(F.struct("start", "window")).alias("hits"))
-    joined = docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "hits")
-    return joined.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
+    per_doc = stored(per_doc, "repeats")
+    # documents without a hit don't meet the others in the shuffle; the bit table only splits the two kinds
+    hashed = bitfilter.build(per_doc.select(F.xxhash64("doc_id")), DOC_LOG_BITS)
+    keyed = docs.withColumn("h", F.xxhash64("doc_id"))
+    schema = "doc_id long, text string"
+    untouched = keyed.mapInArrow(_split(hashed, False), schema).withColumn("hits", F.lit(None).cast(per_doc.schema["hits"].dataType))
+    touched = keyed.mapInArrow(_split(hashed, True), schema).join(per_doc, "doc_id", "left")
+    kept = "doc_id long, n_words long, n_removed long, text string"
+    return untouched.mapInArrow(_kept, kept).unionByName(touched.select("doc_id", "text", "hits").mapInArrow(_kept, kept))
