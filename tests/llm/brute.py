@@ -88,7 +88,7 @@ def near_duplicates(rows):
 
 def char_set(line):
     line = line.translate({c: c + 32 for c in range(65, 91)})
-    return frozenset(line[i : i + 5] for i in range(len(line) - 4)) or frozenset([line])
+    return frozenset(line[i : i + 8] for i in range(len(line) - 7)) or frozenset([line])
 
 
 def dedup_lines(rows):
