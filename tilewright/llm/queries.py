@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tilewright.llm import oracles, packing, token_files
 from tilewright.llm import quality_model as model
 from tilewright.llm import quality_rules as rules
 from tilewright.llm import substring_dedup as substrings
-from tilewright.llm.shared import held_out, staging_path, table
+from tilewright.llm.shared import held_out, prepare, staging_path, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +72,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _prepared(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return run(spark, sf_dir)
+
+    return call
+
+
 #: Name -> (callable of session and folder, DuckDB text or None)
-QUERIES = {
+_QUERIES = {
     "op1_license_scan": (op1_license_scan, oracles.license_scan()),
     "op2_lm_scores": (op2_lm_scores, None),
     "op3_line_dedup": (op3_line_dedup, None),
@@ -83,3 +93,4 @@ QUERIES = {
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality_rules": (op10_quality_rules, oracles.quality_rules()),
 }
+QUERIES = {name: (_prepared(run), sql) for name, (run, sql) in _QUERIES.items()}

@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.session import shared_dir, staging_path
+from tilewright.session import shared_dir, ship_package, staging_path
 
 #: The white space of the word rule, for Java and RE2 patterns.
 SPACE = r"[\x20\x09-\x0D]"
 
 
+#: Most rows and bytes of one Arrow batch: texts are long, and tasks hold a batch or two.
+BATCH_ROWS, BATCH_BYTES = 4000, 16 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Package for the Python workers, and Arrow batches that are small enough for long texts."""
+    ship_package(spark)
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        known = spark.conf.get(name, None)
+        now = int(known) if known and known.lstrip("-").isdigit() else 0
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -28,4 +43,4 @@ def held_out(column, modulus: int, remainder: int):
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-__all__ = ["SPACE", "held_out", "shared_dir", "staging_path", "stored", "table"]
+__all__ = ["SPACE", "held_out", "prepare", "shared_dir", "staging_path", "stored", "table"]
