@@ -185,3 +185,55 @@ def test_pyramid_conserves_mass(spark, world):
     means = [r for r in level_means(levels, extents, factors).collect() if r.level == 1]
     got = image(means, (12, 51, 39))
     assert got[0, 50, 38] == odd[0, 100, 76] and got[3, 0, 0] == int(np.floor(odd[3, :2, :2].mean() + 0.5))
+
+
+def test_paste_refuses_gaps_and_overlaps():
+    from collections import namedtuple
+
+    from tilewright.operators.boxes import paste, plane_runs
+
+    box = namedtuple("Box", "z0 y0 x0 nz ny nx data")
+    one = lambda z, y, v: box(z, y, 0, 1, 1, 2, np.full(2, v, "<u2").tobytes())
+    assert paste([one(0, 0, 1), one(0, 1, 2)])[0].tolist() == [[[1, 1], [2, 2]]]
+    with pytest.raises(ValueError, match="missing"):
+        paste([one(0, 0, 1), one(1, 1, 1)])
+    with pytest.raises(ValueError, match="overlap"):
+        paste([one(0, 0, 1), one(0, 0, 2)])
+    assert paste([one(0, 0, 1), one(0, 0, 2)], add=True)[0].tolist() == [[[3, 3]]]
+    assert [len(run) for run in plane_runs([one(4, 0, 1), one(0, 0, 1), one(1, 0, 1)])] == [2, 1]
+
+
+def test_pyramid_of_unaligned_blocks(spark):
+    """Sums are whole wherever the blocks of the base begin."""
+    from tilewright.operators.pyramid import pyramid
+
+    fields = "acq_id string, channel int, z0 bigint, y0 bigint, x0 bigint, nz int, ny int, nx int, data binary"
+    rng = np.random.default_rng(1)
+    volume = rng.integers(0, 500, (4, 6, 10)).astype("<u2")
+    cuts = [(z, y, x) for z in range(4) for y in (0, 3) for x in (0, 5)]
+    rows = []
+    for z, y, x in cuts:
+        part = volume[z : z + 1, y : y + 3, x : x + 5]
+        rows.append(("a", 0, z, y, x, *part.shape, part.tobytes()))
+    levels = pyramid(spark.createDataFrame(rows, fields), [(2, 2, 2)], (2, 2, 2)).collect()
+    got = np.zeros((2, 3, 5), dtype="<i8")
+    for r in levels:
+        got[r.z0 : r.z0 + r.nz, r.y0 : r.y0 + r.ny, r.x0 : r.x0 + r.nx] += np.frombuffer(r.data, "<i8").reshape(r.nz, r.ny, r.nx)
+    want = volume.astype("<i8").reshape(2, 2, 3, 2, 5, 2).sum(axis=(1, 3, 5))
+    assert (got == want).all()
+
+
+def test_unconverged_positions_are_an_error(spark):
+    from tilewright.operators.solve import solve_positions
+
+    rng = np.random.default_rng(3)
+    tiles = spark.createDataFrame(
+        [("a", i, 0, (i // 3) * 10, (i % 3) * 10, 1, 12, 12) for i in range(9)],
+        "acq_id string, tile_index bigint, pos_z bigint, pos_y bigint, pos_x bigint, size_z int, size_y int, size_x int",
+    )
+    pairs = [(i, i + 1) for i in range(9) if i % 3 < 2] + [(i, i + 3) for i in range(6)]
+    links = [("a", i, j, 0.0, float((j // 3 - i // 3) * 10 + rng.normal()), float((j % 3 - i % 3) * 10 + rng.normal()), 1.0) for i, j in pairs]
+    links = spark.createDataFrame(links, "acq_id string, i bigint, j bigint, dz double, dy double, dx double, w double")
+    with pytest.raises(RuntimeError, match="converged"):
+        solve_positions(tiles, links, tolerance=1e-12, max_iterations=0)
+    assert solve_positions(tiles, links)[0].count() == 9

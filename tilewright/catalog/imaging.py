@@ -119,14 +119,7 @@ def blocks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BLOCKS_ROUNDTRIP = f"""with {V.STACK}
-, held as (select distinct z // 16 as cz from stack where channel = 3)
-, grid as (select unnest(range(0, (select max(z) + 1 from stack))) as z)
-, span as (select z // 16 as cz, min(z) as lo, max(z) as hi from stack where channel = 3 group by 1)
-select 3 as channel, g.z, yy.y, string_agg(cast(coalesce(s.v, 0) as varchar), ',' order by xx.x) as line
-from grid g join span h on g.z between h.lo and h.hi and g.z // 16 = h.cz
-cross join (select unnest(range(0, 8)) as y) yy cross join (select unnest(range(0, 8)) as x) xx
-left join stack s on s.channel = 3 and s.z = g.z and s.y = yy.y and s.x = xx.x
-group by g.z, yy.y"""
+select 3 as channel, z, y, string_agg(cast(v as varchar), ',' order by x) as line from stack where channel = 3 group by z, y"""
 
 
 def channel_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,8 +424,7 @@ FUSED_FILL = _fuse_sql("pos_y", "pos_x", _BLEND, "(select b from bg)", "tile_ind
 def _scene_pyramid(spark: SparkSession, sf_dir: str):
     scene = V.scene(spark, sf_dir)
     size = scene.agg(*[F.max(F.col(f"{a}0") + F.col(f"n{a}")).alias(a) for a in "zyx"]).first()
-    # Three levels, whatever the size: blocks shrink with the scene's width.
-    factors = level_factors((size["z"], size["y"], size["x"]), (0.42, 0.23, 0.23), (1, 10**9, 32))[:3]
+    factors = level_factors((size["z"], size["y"], size["x"]), (0.42, 0.23, 0.23), (1, 32, 32))
     return scene, factors
 
 
@@ -450,9 +442,10 @@ def _sum_lines(levels: DataFrame) -> DataFrame:
 
 
 PYRAMID_LEVELS = f"""with {V.SCENE},
+deep as (select min(n) as n from (select unnest(range(0, 40)) as n), (select greatest(max(y), max(x)) + 1 as side from scene) where side <= 32 * 2 ** n),
 levels as (
   select l as level, y // cast(2 ** l as bigint) as y, x // cast(2 ** l as bigint) as x, sum(v) as s
-  from scene, (select unnest(range(1, 4)) as l) group by all)
+  from scene, (select unnest(range(1, (select n + 1 from deep))) as l) group by all)
 select level, y // 32 as cy, x // 32 as cx, y, string_agg(cast(cast(s as bigint) as varchar), ',' order by x) as line
 from levels group by level, y, x // 32"""
 
@@ -466,9 +459,10 @@ def pyramid_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PYRAMID_MEANS = f"""with {V.SCENE},
+deep as (select min(n) as n from (select unnest(range(0, 40)) as n), (select greatest(max(y), max(x)) + 1 as side from scene) where side <= 32 * 2 ** n),
 levels as (
   select l as level, y // cast(2 ** l as bigint) as y, x // cast(2 ** l as bigint) as x, (2 * sum(v) + count(*)) // (2 * count(*)) as s
-  from scene, (select unnest(range(1, 4)) as l) group by all)
+  from scene, (select unnest(range(1, (select n + 1 from deep))) as l) group by all)
 select level, y // 32 as cy, x // 32 as cx, y, string_agg(cast(cast(s as bigint) as varchar), ',' order by x) as line
 from levels group by level, y, x // 32"""
 

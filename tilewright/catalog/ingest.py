@@ -117,11 +117,11 @@ select acq_id, n_files, n_images, coalesce(first_pattern, case when n_images = 1
 
 def acquisition_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = M.packed_files(_files(spark, sf_dir), lead=["/data/input", "/data/out"])
-    return packed.select("acq_id", "part", F.array_join("files", " ").alias("files"), F.size("patterns").alias("n"))
+    return packed.select("acq_id", F.array_join("files", " ").alias("files"), F.size("patterns").alias("n"))
 
 
 LISTS = f"""with {_FILES}
-select id as acq_id, line_no // 1000 as part, concat('/data/input /data/out ', string_agg(path, ' ' order by line_no)) as files,
+select id as acq_id, concat('/data/input /data/out ', string_agg(path, ' ' order by line_no)) as files,
   count(*) as n from files group by all"""
 
 
@@ -245,21 +245,20 @@ COMPLETE = f"with {V.VALID} select id, pattern, count(distinct filename) as n_me
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents written as one file per source and language, listed with digests of their rows."""
+    """The texts of the documents written as one file per source and language, listed with their digests."""
     folder = staging_path(spark, "store")
-    docs = V.table(spark, sf_dir, "documents").select("source", "lang", F.col("doc_id").cast("string").alias("value"))
-    docs.write.partitionBy("source", "lang").text(folder)
+    docs = V.table(spark, sf_dir, "documents").select("source", "lang", "doc_id", F.col("text").alias("value"))
+    placed = docs.repartition("source", "lang").sortWithinPartitions("source", "lang", "doc_id")
+    placed.drop("doc_id").write.partitionBy("source", "lang").text(folder)
     found = FI.file_inventory(spark, folder, hash_content=True, glob="*.txt")
     place = r"/source=([^/]+)/lang=([^/]+)/"
-    return (
-        found.select(F.regexp_extract("path", place, 1).alias("source"), F.regexp_extract("path", place, 2).alias("lang"), "length", "md5")
-        .groupBy("source", "lang")
-        .agg(F.sum("length").alias("n_bytes"), F.count_if(F.length("md5") == 32).alias("n_hashed") > 0)
-        .toDF("source", "lang", "n_bytes", "hashed")
+    return found.select(
+        F.regexp_extract("path", place, 1).alias("source"), F.regexp_extract("path", place, 2).alias("lang"), F.col("length").alias("n_bytes"), "md5"
     )
 
 
-INVENTORY = """select source, lang, cast(sum(length(cast(doc_id as varchar)) + 1) as bigint) as n_bytes, true as hashed from documents group by all"""
+INVENTORY = """select source, lang, strlen(string_agg(text, chr(10) order by doc_id)) + 1 as n_bytes,
+  md5(string_agg(text, chr(10) order by doc_id) || chr(10)) as md5 from documents group by all"""
 
 
 # --- rules -------------------------------------------------------------------------------

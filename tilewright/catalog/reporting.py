@@ -170,7 +170,7 @@ def params_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PARAMS_HTML = f"""with {_FLAT} select c_custkey, name, concat('<dt>', name, '</dt><dd><samp>',
-  case when value = '' then '<span style="color:#999999;">N/A</a>' else value end, '</samp></dd>') as html from flat"""
+  case when value = '' then '<span style="color:#999999;">N/A</span>' else value end, '</samp></dd>') as html from flat"""
 
 
 def version_strings(spark: SparkSession, sf_dir: str) -> DataFrame:

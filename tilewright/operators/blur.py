@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import BOX_FIELDS, CELL, fields_of, paste, reduce_boxes, split_to_grid, to_bytes
+from tilewright.operators.boxes import BOX_FIELDS, CELL, broadcast_if_bounded, fields_of, paste, reduce_boxes, split_to_grid, to_bytes
 
 
 def kernel_weights(sigma: float) -> np.ndarray:
@@ -37,10 +37,11 @@ def gaussian_blur(
     radius = len(weights) // 2
     halo = tuple(radius if a in axes else 0 for a in range(3))
     # A mirrored border reads at most `radius` samples back inside, which the halo covers.
-    crops = split_to_grid(blocks, cell, keys, halo)
     on = [k for k in keys if k in sizes.columns]
     size_cols = ["size_z", "size_y", "size_x"]
-    crops = crops.join(sizes.select(*on, *size_cols), on)
+    # Sizes are metadata: they join the whole blocks, once, and no payload moves for them when they are few.
+    sized = blocks.join(broadcast_if_bounded(sizes.select(*on, *size_cols), row_bytes=64), on)
+    crops = split_to_grid(sized, cell, [*keys, *size_cols], halo)
     schema = T.StructType([*fields_of(blocks, keys), *BOX_FIELDS])
 
     def blur(key, rows):

@@ -160,25 +160,53 @@ def crop_boxes(boxes: DataFrame, keep: list[str], dtype: str = "<u2") -> DataFra
     return map_boxes(boxes.select(*dict.fromkeys([*keep, *ORIGIN, *SHAPE, "data", *limits])), cut, schema)
 
 
-def paste(rows: Iterable[tuple], dtype: str = "<u2") -> tuple[np.ndarray, tuple[int, int, int]]:
-    """Paste rows into one array over their common bounds."""
+def paste(rows: Iterable[tuple], dtype: str = "<u2", add: bool = False) -> tuple[np.ndarray, tuple[int, int, int]]:
+    """Paste rows into one array over their common bounds, which they must fill.
+
+    A sample that no row has is an error, and so is one that several have, unless they are
+    parts of a sum (``add``): the result never depends on the order of the rows.
+    """
     rows = list(rows)
     origin = tuple(min(getattr(r, c) for r in rows) for c in ORIGIN)
     shape = tuple(max(getattr(r, c) + getattr(r, n) for r in rows) - o for c, n, o in zip(ORIGIN, SHAPE, origin))
     out = np.zeros(shape, dtype=dtype)
+    held = np.zeros(shape, dtype=bool)
     for r in rows:
         z, y, x = (r.z0 - origin[0], r.y0 - origin[1], r.x0 - origin[2])
-        out[z : z + r.nz, y : y + r.ny, x : x + r.nx] = pixels(r.data, r.nz, r.ny, r.nx, dtype)
+        place = np.s_[z : z + r.nz, y : y + r.ny, x : x + r.nx]
+        if not add and held[place].any():
+            raise ValueError(f"boxes overlap at {origin}, shape {shape}")
+        out[place] += pixels(r.data, r.nz, r.ny, r.nx, dtype)
+        held[place] = True
+    if not held.all():
+        raise ValueError(f"{int((~held).sum())} samples are missing at {origin}, shape {shape}")
     return out, origin
 
 
-def merge_cells(crops: DataFrame, keys: list[str], dtype: str = "<u2") -> DataFrame:
-    """Paste the crops of each (keys, cell) into one box; a cell bounds the group's size."""
+def plane_runs(rows: list[tuple]) -> Iterator[list[tuple]]:
+    """Rows whose z ranges touch, run by run: a missing plane stays a gap between two boxes."""
+    run, end = [], None
+    for row in sorted(rows, key=lambda r: (r.z0, r.y0, r.x0)):
+        if run and row.z0 > end:
+            yield run
+            run, end = [], None
+        run.append(row)
+        end = row.z0 + row.nz if end is None else max(end, row.z0 + row.nz)
+    if run:
+        yield run
+
+
+def merge_cells(crops: DataFrame, keys: list[str], dtype: str = "<u2", add: bool = False) -> DataFrame:
+    """Paste (or ``add``) the crops of each (keys, cell) into one box; a cell bounds the group's size.
+
+    Where whole planes are missing, a cell gives one box for each run of planes.
+    """
     schema = T.StructType([*fields_of(crops, keys), *CELL_FIELDS, *BOX_FIELDS])
 
     def merge(key, rows):
-        block, origin = paste(rows, dtype)
-        yield (*key, *origin, *block.shape, to_bytes(block, dtype))
+        for run in plane_runs(list(rows)):
+            block, origin = paste(run, dtype, add)
+            yield (*key, *origin, *block.shape, to_bytes(block, dtype))
 
     return reduce_boxes(crops, [*keys, *CELL], merge, schema)
 

@@ -146,13 +146,12 @@ def field_blocks(field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
     ch, cw = cell_yx
 
     def assemble(key, rows):
-        rows = list(rows)
-        y0, x0 = key[2] * ch, key[3] * cw
-        ny, nx = max(r.y for r in rows) - y0 + 1, max(r.x for r in rows) - x0 + 1
+        y, x, scale, shift = (np.array(c) for c in zip(*((r.y, r.x, r.s, r.t) for r in rows)))
+        y, x = y - key[2] * ch, x - key[3] * cw
+        ny, nx = y.max() + 1, x.max() + 1
         s, t = np.ones((ny, nx)), np.zeros((ny, nx))
-        for r in rows:
-            s[r.y - y0, r.x - x0], t[r.y - y0, r.x - x0] = r.s, r.t
-        yield (*key, ny, nx, to_bytes(s, "<f8"), to_bytes(t, "<f8"))
+        s[y, x], t[y, x] = scale, shift
+        yield (*key, int(ny), int(nx), to_bytes(s, "<f8"), to_bytes(t, "<f8"))
 
     placed = field.withColumn("cy", F.floor(F.col("y") / ch)).withColumn("cx", F.floor(F.col("x") / cw))
     return reduce_boxes(placed, [*CHANNEL, "cy", "cx"], assemble, schema)
@@ -167,11 +166,8 @@ def apply_field(blocks: DataFrame, field: DataFrame, cell_yx: tuple[int, int]) -
     counted size allows, so the blocks are not shuffled.
     """
     ch, cw = cell_yx
-    boxes = field_blocks(field, cell_yx).persist()
-    try:
-        boxes_side = broadcast_if_bounded(boxes, row_bytes=16 * ch * cw)
-    finally:
-        boxes.unpersist()
+    # Counted and used: written once, so the field is not fitted twice.
+    boxes_side = broadcast_if_bounded(cut_lineage(field_blocks(field, cell_yx)), row_bytes=16 * ch * cw)
     keyed = blocks.withColumn("cy", F.floor(F.col("y0") / ch)).withColumn("cx", F.floor(F.col("x0") / cw))
     met = keyed.join(boxes_side, [*CHANNEL, "cy", "cx"])
     names = blocks.columns

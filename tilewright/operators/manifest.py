@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 # The two row messages.
 NO_ID = "Acquisition name is required."
 NO_FILE = "File name is required."
-# Files per packed list row: a list never grows with its acquisition.
-LIST_SIZE = 1000
 
 
 def is_blank(c: Column | str) -> Column:
@@ -20,9 +18,11 @@ def is_blank(c: Column | str) -> Column:
 
 
 def or_default(c: Column | str, default) -> Column:
-    """``default`` for null and for the empty string, not only for null."""
+    """``default`` for null, for the empty string, and for 0 and false unless they are text."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNull() | (c == ""), default).otherwise(c)
+    text = c.cast("string")
+    falsy = (F.typeof(c) != "string") & ((text == "false") | (text.try_cast("double") == 0))
+    return F.when(c.isNull() | (text == "") | falsy, default).otherwise(c)
 
 
 def violations(sheet: DataFrame) -> DataFrame:
@@ -53,6 +53,7 @@ def multi_image_faults(sheet: DataFrame) -> DataFrame:
         F.count_if(F.col("filename").endswith(".czi")).alias("n_images"),
         F.max_by(F.when(given, F.col("pattern")), F.when(given, F.col("line_no"))).alias("pattern"),
     )
+    # Fixed value: the message of the rule.
     message = F.format_string(
         "Acquisition '%s' has more than one CZI file, so it needs to have at least one value in the 'pattern' column.", "id"
     )
@@ -132,17 +133,18 @@ def acquisitions(files: DataFrame, outdir: str, session: str = "session") -> Dat
 
 
 def packed_files(files: DataFrame, lead: list[str] | None = None) -> DataFrame:
-    """File lists in row order, ``LIST_SIZE`` lines per list: ``acq_id, part, files``.
+    """One list per acquisition, in row order: ``acq_id, files, patterns``.
 
-    ``lead`` entries (such as the directories) come before the files of each list.
+    ``lead`` entries (such as the directories) come before the files.  A list is as long as its
+    acquisition; ``acquisition_files`` has one row per file for plans that need no list.
     """
-    listed = files.groupBy("acq_id", F.floor(F.col("line_no") / LIST_SIZE).alias("part")).agg(
+    listed = files.groupBy("acq_id").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "path", "pattern"))).alias("rows")
     )
     paths = F.transform("rows", lambda r: r["path"])
     if lead:
         paths = F.concat(F.array(*[F.lit(v) for v in lead]), paths)
-    return listed.select("acq_id", "part", paths.alias("files"), F.transform("rows", lambda r: r["pattern"]).alias("patterns"))
+    return listed.select("acq_id", paths.alias("files"), F.transform("rows", lambda r: r["pattern"]).alias("patterns"))
 
 
 def require_metadata(acqs: DataFrame) -> DataFrame:

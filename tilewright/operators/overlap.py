@@ -18,7 +18,8 @@ def overlap_pairs(
     ``tiles``: acq_id, tile_index, pos_{z,y,x}, size_{z,y,x}; padding in z,y,x order.
     A pair is reported only in the cell that holds the low corner of its intersection, so
     no pair is produced twice and none has to be removed afterwards.  Cells are as wide as
-    the acquisition's largest padded box, so a box touches at most two cells per axis.
+    the acquisition's typical (median) padded box: usual boxes touch two cells per axis, a wide
+    one covers many, and does not bring all others into its own.
     """
     boxes = tiles.select(
         "acq_id",
@@ -26,8 +27,9 @@ def overlap_pairs(
         *[(F.col(f"pos_{a}") - p).cast("long").alias(f"lo_{a}") for a, p in zip(AXES, padding)],
         *[(F.col(f"pos_{a}") + F.col(f"size_{a}") + p).cast("long").alias(f"hi_{a}") for a, p in zip(AXES, padding)],
     )
-    widest = boxes.groupBy("acq_id").agg(*[F.max(F.col(f"hi_{a}") - F.col(f"lo_{a}")).alias(f"cell_{a}") for a in AXES])
-    covered = boxes.join(widest, "acq_id")
+    width = lambda a: F.percentile_approx(F.col(f"hi_{a}") - F.col(f"lo_{a}"), 0.5)
+    typical = boxes.groupBy("acq_id").agg(*[F.greatest(width(a), F.lit(1)).alias(f"cell_{a}") for a in AXES])
+    covered = boxes.join(typical, "acq_id")
     for a in AXES:
         lo, hi, cell = F.col(f"lo_{a}"), F.col(f"hi_{a}"), F.col(f"cell_{a}")
         first, last = F.floor(lo / cell).cast("long"), F.floor((hi - 1) / cell).cast("long")

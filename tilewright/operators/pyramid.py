@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +40,11 @@ def level_factors(
 
 
 def _reduce_blocks(boxes: DataFrame, step: tuple[int, int, int], cell: tuple[int, int, int], dtype: str) -> DataFrame:
-    """Sum ``step``-sized groups of samples inside each block, before any shuffle."""
+    """Sum ``step``-sized groups of samples inside each block, before any shuffle.
+
+    Groups lie on the grid of the whole volume: where a block begins or ends inside a group, it
+    gives a part of its sum.  What a block gives is cut along the cells of the level.
+    """
     schema = T.StructType([*fields_of(boxes, KEYS), *CELL_FIELDS, *BOX_FIELDS])
 
     def shrink(row):
@@ -47,9 +53,14 @@ def _reduce_blocks(boxes: DataFrame, step: tuple[int, int, int], cell: tuple[int
         for axis, (name, f) in enumerate(zip(ORIGIN, step)):
             lo.append(getattr(row, name) // f)
             if f > 1:
-                block = np.add.reduceat(block, np.arange(0, block.shape[axis], f), axis=axis)
-        where = [o // c for o, c in zip(lo, cell)]
-        yield (row.acq_id, row.channel, *where, *lo, *block.shape, to_bytes(block, "<i8"))
+                at = np.arange(block.shape[axis])
+                block = np.add.reduceat(block, at[(at == 0) | ((at + getattr(row, name)) % f == 0)], axis=axis)
+        cuts = []
+        for o, n, c in zip(lo, block.shape, cell):
+            cuts.append([(k, max(o, k * c), min(o + n, (k + 1) * c)) for k in range(o // c, (o + n - 1) // c + 1)])
+        for where in product(*cuts):
+            piece = block[tuple(slice(a - o, b - o) for (_, a, b), o in zip(where, lo))]
+            yield (row.acq_id, row.channel, *[k for k, _, _ in where], *[a for _, a, _ in where], *piece.shape, to_bytes(piece, "<i8"))
 
     return map_boxes(boxes.select(*KEYS, *ORIGIN, *SHAPE, "data"), shrink, schema)
 
@@ -62,16 +73,13 @@ def pyramid(
     """All levels: ``acq_id, channel, level, cell, box`` with int64 sample sums.
 
     Level L+1 sums the sums of level L, so no rounding adds up; divide by ``cell_counts``
-    for means.  Blocks shrink where they are; only the smaller sums are shuffled.
+    for means.  Blocks shrink where they are, wherever they begin; only the smaller sums are shuffled.
     """
-    for axis_cell, fs in zip(cell, zip(*factors) if factors else [()] * 3):
-        if any(axis_cell % f for f in fs):
-            raise ValueError("block sides must be even on halved axes")
     levels = []
     current, dtype = base, "<u2"
     for number, step in enumerate(factors, start=1):
         shrunk = _reduce_blocks(current, step, cell, dtype)
-        current, dtype = cut_lineage(merge_cells(shrunk, KEYS, "<i8")), "<i8"
+        current, dtype = cut_lineage(merge_cells(shrunk, KEYS, "<i8", add=True)), "<i8"
         levels.append(current.withColumn("level", F.lit(number)))
     if not levels:
         raise ValueError("the volume already fits one block")

@@ -115,8 +115,9 @@ def collect_file(rows: DataFrame, value: str, order: list[str], path: str) -> No
 
 
 def order_sections(sections: DataFrame, weights: DataFrame, name: str = "section") -> DataFrame:
-    """Sections with their explicit weight (0 without one); render by descending weight, then name."""
-    return sections.join(weights, name, "left").withColumn("weight", F.coalesce("weight", F.lit(0)))
+    """Sections by descending explicit weight (0 without one), then by name, as they are rendered."""
+    weighted = sections.join(weights, name, "left").withColumn("weight", F.coalesce("weight", F.lit(0)))
+    return weighted.orderBy(F.desc("weight"), name)
 
 
 def pick_one(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
@@ -158,7 +159,8 @@ def params_list(flat: DataFrame, keys: list[str]) -> DataFrame:
 
 def params_html(flat: DataFrame) -> DataFrame:
     """Definition-list row of each parameter, with a grey N/A for empty values."""
-    shown = or_default("value", '<span style="color:#999999;">N/A</a>')
+    # Fixed value: the grey N/A; its span is closed as a span.
+    shown = or_default("value", '<span style="color:#999999;">N/A</span>')
     return flat.withColumn("html", F.format_string("<dt>%s</dt><dd><samp>%s</samp></dd>", "name", shown))
 
 
@@ -181,6 +183,7 @@ def run_outcome(trace: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if(F.col("status") == "ignored").alias("n_ignored"),
         F.count_if(F.col("status") == "failed").alias("n_failed"),
     )
+    # The three closing messages.
     outcome = (
         F.when(F.col("n_failed") > 0, "Pipeline completed with errors")
         .when(F.col("n_ignored") > 0, "Pipeline completed successfully, but with errored process(es) ")

@@ -12,7 +12,7 @@ from tilewright.sources.samplesheet import read_samplesheet
 
 
 def _local(path):
-    """One spelling of file URIs: the inventory lists ``file:/x`` where a manifest says ``file:///x``."""
+    """One spelling of file URIs: ``file:/x`` and ``file:///x`` are the same file."""
     return F.regexp_replace(path, r"^file:/+", "file:///")
 
 
@@ -22,15 +22,19 @@ def ingest(
     """Validate, fetch what is missing, verify what has a checksum, group.
 
     Returns acquisitions, their files and the list of files fetched now.  Existing files
-    are verified, never fetched again.
+    are verified, never fetched again.  ``image_dir`` may be a plain path or a URI, and need not
+    exist yet.  Only files of rows with a checksum are read.
     """
+    image_dir = FI.qualified(spark, image_dir)
     sheet = M.check_multi_image(M.validate(read_samplesheet(spark, samplesheet)))
     sheet = M.route_remote(sheet).withColumn("path", _local(F.concat_ws("/", F.lit(image_dir), "filename")))
-    there = FI.file_inventory(spark, image_dir).withColumn("path", _local("path"))
+    there = FI.existing_files(spark, image_dir).withColumn("path", _local("path"))
     plan = FI.plan_fetch(sheet.where("route = 'remote'"), there)
     # The copy must run once and before the digests are read: keep its result.
     fetched = cut_lineage(FI.fetch_missing(plan))
-    digests = FI.file_inventory(spark, image_dir, hash_content=True).withColumn("path", _local("path"))
+    now = FI.existing_files(spark, image_dir).withColumn("path", _local("path"))
+    checked = sheet.where("route = 'remote'").where(~M.is_blank("checksum")).select("path").distinct()
+    digests = cut_lineage(FI.file_digests(now.join(checked, "path", "left_semi")))
     remote = FI.require_verified(FI.verify_checksums(sheet.where("route = 'remote'"), digests))
     rows = remote.select(sheet.columns).unionByName(sheet.where("route = 'local'"))
     files = M.acquisition_files(rows, image_dir)

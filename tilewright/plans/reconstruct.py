@@ -39,10 +39,11 @@ def stitch(
     """Match and solve until the links no longer change.
 
     Returns positions, links and the solve log.  ``full`` matches all pairs again from the
-    current positions in every round; ``incremental`` only pairs that have no link yet.
+    current positions in every round; ``incremental`` only pairs that have no link yet.  Links
+    that still change after ``max_rounds`` are an error.
     """
     nominal = cut_lineage(tiles)
-    current, accepted, log, known = nominal, None, None, -1
+    current, accepted, log, known = nominal, None, None, None
     axes = ("z", "y", "x")
     for round_no in range(max_rounds):
         pairs = pairs_to_match(current, accepted, mode, padding, min_overlap)
@@ -52,7 +53,8 @@ def stitch(
         positions, kept, round_log = solve_with_pruning(nominal, links, max_error)
         round_log = round_log.withColumn("round", F.lit(round_no))
         log = round_log if log is None else log.unionByName(round_log)
-        n = kept.count()
+        # the same links, not only as many
+        mark = tuple(kept.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("acq_id", "i", "j", "dz", "dy", "dx"))).first())
         accepted = kept
         current = cut_lineage(
             nominal.drop(*[f"pos_{a}" for a in axes]).join(
@@ -63,7 +65,7 @@ def stitch(
                 ["acq_id", "tile_index"],
             )
         )
-        if n == known:
-            break
-        known = n
-    return positions, accepted, log
+        if mark == known:
+            return positions, accepted, log
+        known = mark
+    raise RuntimeError(f"the links still changed after {max_rounds} rounds")

@@ -25,6 +25,45 @@ def file_inventory(spark: SparkSession, folder: str, hash_content: bool = False,
     return files.select("path", name.alias("name"), "length", F.col("modificationTime").alias("modified"), *extra)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as its file system spells it, as ``file_inventory`` lists it: ``file:///a/b``."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(hadoop)
+    return system.makeQualified(path).toString()
+
+
+def existing_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_inventory`` of a folder that may not be there yet: then there are no files."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(hadoop).exists(path):
+        return spark.createDataFrame([], "path string, name string, length bigint, modified timestamp")
+    return file_inventory(spark, folder)
+
+
+def file_digests(paths: DataFrame, chunk: int = 1 << 20) -> DataFrame:
+    """``path, md5`` of the files named by ``path``; files of any size, read in chunks by tasks."""
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for path in batch["path"]:
+                system, at = fs.FileSystem.from_uri(path)
+                seen = hashlib.md5()
+                with system.open_input_stream(at) as stream:
+                    while part := stream.read(chunk):
+                        seen.update(part)
+                out.append(seen.hexdigest())
+            yield pd.DataFrame({"path": batch["path"], "md5": out})
+
+    return paths.select("path").distinct().mapInPandas(digest, "path string, md5 string")
+
+
 def plan_fetch(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     """Manifest rows whose file is not there yet."""
     return manifest.join(inventory.select("path"), "path", "left_anti")

@@ -44,6 +44,9 @@ def barrier(
 ) -> DataFrame:
     """``key, n_members, status`` when ``expected`` distinct members arrived, or after the wait.
 
+    A key that timed out keeps its count and is complete once the rest arrives; members that
+    arrive after that give a row of status ``late`` with the new count.
+
     Members are made distinct in the state store of the deduplication, spread by key and
     member; each partition counts its new ones, so the per-key state is a number and a key
     with very many members is no burden to one task.
@@ -65,19 +68,20 @@ def barrier(
     def step(k: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         columns = [key, "n_members", "status"]
         if state.hasTimedOut:
-            n, _, _ = state.get
-            state.remove()
+            # the count stays: members that still come are counted on top of it
+            n, need, _ = state.get
+            state.update((n, need, False))
             yield pd.DataFrame([(k[0], n, "timed out")], columns=columns)
             return
         n, need, done = state.get if state.exists else (0, 0, False)
         for part in parts:
             n += int(part["n"].sum())
             need = max(need, int(part["expected"].max()))
-        ready = not done and n >= need
-        state.update((n, need, done or ready))
+        ready = n >= need
+        state.update((n, need, ready))
         if ready:
-            yield pd.DataFrame([(k[0], n, "complete")], columns=columns)
-        elif not done:
+            yield pd.DataFrame([(k[0], n, "late" if done else "complete")], columns=columns)
+        else:
             state.setTimeoutDuration(max_wait_secs * 1000)
 
     out = T.StructType(
@@ -94,14 +98,14 @@ def barrier(
 
 
 def publish_complete(staged_path: str, target: str, key: str):
-    """``foreachBatch`` sink: the rows of keys completed in this batch, one partition each.
+    """``foreachBatch`` sink: the rows of keys completed (or added to) in this batch, one partition each.
 
     Overwriting a key's partition makes a repeated batch harmless.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ready = batch.where("status = 'complete'").select(key).distinct()
+        ready = batch.where("status in ('complete', 'late')").select(key).distinct()
         rows = spark.read.parquet(staged_path).join(ready, key, "left_semi")
         rows.repartition(key, F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(16))).write.mode(
             "overwrite"
