@@ -194,15 +194,16 @@ def linked_classes(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     prefixes = stored(apart_sets.mapInArrow(rarest, "key long, class long, component long, n int, i int"), f"{name}-prefixes")
     several = prefixes.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = prefixes.join(several.select("key"), "key", "left_semi")
-    sides = rest.select("key", F.col("component").alias("other")).distinct()
+    # what can still be common from the first common shingle on is at most the rest of either set;
+    # the bound is tried on whole components first, so a large one is not met row by row
+    sides = rest.groupBy("key", F.col("component").alias("other")).agg(F.min("n").alias("least"), F.max(F.col("n") - F.col("i")).alias("most"))
     crossing = (
         rest.join(sides, "key")
-        .where("component < other")
+        .where(f"component < other and {100 + percent} * least(n - i, most) >= {percent} * (n + least)")
         .join(
             rest.select("key", F.col("class").alias("c"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("component").alias("other")),
             ["key", "other"],
         )
-        # what can still be common from the first common shingle on; it also bounds the sizes
         .where(f"{100 + percent} * least(n - i, m - j) >= {percent} * (n + m)")
         .select(F.least("class", "c").alias("a"), F.greatest("class", "c").alias("b"))
         .distinct()
