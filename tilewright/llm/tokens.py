@@ -9,13 +9,13 @@ of special tokens) are encoded by the library as a whole. Results are those of `
 from __future__ import annotations
 
 import re
+from array import array
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Words a worker remembers per vocabulary; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 # The word patterns of the two vocabularies, for characters up to U+024F.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -24,43 +24,59 @@ BYTE_WORDS = re.compile(
     rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
 )
 LOWER_WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
+_PLAIN = {9: " ", 10: " ", 13: " "}
 _UNUSUAL = re.compile("[^\t\n\r -~¡-įı-ɏ]|<\\|")
 
 
+def _unusual(text: str) -> bool:
+    if text.isascii():
+        return "<|" in text or not text.translate(_PLAIN).isprintable()
+    return _UNUSUAL.search(text) is not None
+
+
+def _single_spaces(text: str) -> bool:
+    """Every white space character is one space or line feed between two other characters."""
+    ends = text[0] in " \n" or text[-1] in " \n"
+    return not (ends or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\t" in text or "\r" in text)
+
+
 class Encoder:
-    """``ids(text)``: the ids as little-endian uint32 bytes, without special tokens."""
+    """``ids(text)``: the ids as uint32 bytes of the machine's (little-endian) order, without special tokens."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.lower = self.tokenizer.normalizer is not None
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.letters: dict[str, str] = {}
-
-    def _letter(self, c: str) -> str:
-        """How the byte-level alphabet writes a character, asked from the library."""
-        known = self.letters.get(c)
-        if known is None:
-            if c == " ":
-                known = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][:-1]
-            else:
-                known = "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
-            self.letters[c] = known
-        return known
+        self.space = "" if self.lower else self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][:-1]
+        self.letters: dict[int, str] = {} if self.lower else {ord(" "): self.space}
+
+    def _written(self, word: str) -> str:
+        """The word in the byte-level alphabet: printable ASCII is itself, the rest is asked from the library."""
+        if word.isascii() and word.isprintable():
+            return word.replace(" ", self.space)
+        for c in word:
+            if ord(c) not in self.letters:
+                parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(c)
+                self.letters[ord(c)] = "".join(part for part, _ in parts)
+        return word.translate(self.letters)
 
     def _word(self, word: str) -> bytes:
         known = self.words.get(word)
         if known is None:
-            written = "".join([self._letter(c) for c in word])
-            known = np.array([t.id for t in self.tokenizer.model.tokenize(written)], dtype="<u4").tobytes()
+            known = array("I", [t.id for t in self.tokenizer.model.tokenize(self._written(word))]).tobytes()
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[word] = known
         return known
 
     def _chunk(self, chunk: str) -> bytes:
-        pattern, text = (LOWER_WORDS, chunk.lower()) if self.lower else (BYTE_WORDS, chunk)
-        known = b"".join([self._word(w) for w in pattern.findall(text)])
+        """Ids of what stands between two spaces; for the byte-level vocabulary, with the space before it."""
+        if self.lower:
+            words = LOWER_WORDS.findall(chunk.lower())
+        else:
+            words = BYTE_WORDS.findall(chunk if chunk[0] == "\n" else " " + chunk)
+        known = b"".join([self._word(w) for w in words])
         if len(self.chunks) >= REMEMBERED:
             self.chunks.clear()
         self.chunks[chunk] = known
@@ -69,21 +85,23 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _UNUSUAL.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if _unusual(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        head = b""
         if self.lower:
             chunks = text.split()
+        elif not _single_spaces(text):
+            return b"".join([self._word(w) for w in BYTE_WORDS.findall(text)])
         else:
-            # a single space between two other characters always begins a word
-            parts = text.split(" ")
-            if "" in parts or any(p[0] in "\n\r\t" or p[-1] in "\n\r\t" for p in parts):
-                return b"".join([self._word(w) for w in BYTE_WORDS.findall(text)])
-            chunks = [parts[0], *[" " + p for p in parts[1:]]]
+            # one space, or one line feed, between two other characters always begins a word
+            chunks = text.replace("\n", " \n").split(" ")
+            head = b"".join([self._word(w) for w in BYTE_WORDS.findall(chunks[0])])
+            del chunks[0]
         get = self.chunks.get
         found = [get(c) for c in chunks]
         if None in found:
             found = [self._chunk(c) if f is None else f for c, f in zip(chunks, found)]
-        return b"".join(found)
+        return head + b"".join(found)
 
 
 _encoders: dict[str, Encoder] = {}
