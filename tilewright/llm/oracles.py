@@ -76,3 +76,38 @@ def quality_rules() -> str:
       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and failed.n is null kept
     from f left join failed using (rid)
     """
+
+
+WORDS = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), []::varchar[])"
+
+
+def substring_dedup() -> str:
+    return f"""
+    with d as (select doc_id, {WORDS.format("text")} as words from documents),
+    w as (select doc_id, words, unnest(range(1, len(words) - 48)) as i from d where len(words) >= 50),
+    h as (select doc_id, i, array_to_string(words[i:i + 49], ' ') as win from w),
+    low as (select win, min(doc_id) as first from h group by win),
+    gone as (select distinct doc_id, i + k as p from h join low using (win), range(0, 50) t(k) where first < doc_id),
+    place as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as p from d),
+    kept as (select doc_id, string_agg(word, ' ' order by p) as kept from place anti join gone using (doc_id, p) group by doc_id),
+    n as (select doc_id, count(*) as n from gone group by doc_id)
+    select doc_id, len(words)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+    from d left join n using (doc_id) left join kept using (doc_id)
+    """
+
+
+def near_dedup() -> str:
+    lower = f"translate(text, '{licenses._UPPER}', '{licenses._LOWER}')"
+    return f"""
+    with recursive d as (select doc_id, {WORDS.format(lower)} as words from documents),
+    s as (select distinct doc_id, array_to_string(words[i:i + 4], ' ') as sh
+          from (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) as i from d where len(words) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    common as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+    link as (select x, y from common join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 75 * (a.n + b.n - c)),
+    edge as (select x, y from link union all select y, x from link),
+    reach as (select x, y from edge union select r.x, e.y from reach r join edge e on r.y = e.x),
+    low as (select x as doc_id, min(y) as component from reach group by x)
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component, doc_id) as component_id, coalesce(component, doc_id) = doc_id as kept
+    from d left join n using (doc_id) left join low using (doc_id)
+    """

@@ -86,10 +86,10 @@ _QUERIES = {
     "op2_lm_scores": (op2_lm_scores, None),
     "op3_line_dedup": (op3_line_dedup, None),
     "op4_token_files": (op4_token_files, None),
-    "op5_substring_dedup": (op5_substring_dedup, None),
+    "op5_substring_dedup": (op5_substring_dedup, oracles.substring_dedup()),
     "op6_packing": (op6_packing, None),
     "op7_quality_model": (op7_quality_model, None),
-    "op8_near_dedup": (op8_near_dedup, None),
+    "op8_near_dedup": (op8_near_dedup, oracles.near_dedup()),
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality_rules": (op10_quality_rules, oracles.quality_rules()),
 }
