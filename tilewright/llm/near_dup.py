@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import dense, textkit
+from tilewright.llm import bitfilter, dense, textkit
 from tilewright.llm.components import components
 from tilewright.llm.shared import stored
 
@@ -37,6 +37,7 @@ ROWS = 2
 PERCENT = 75
 #: Cells (a power of two) of the table by which shingles are called rare.
 SKETCH_LOG = 22
+NAMED_LOG_BITS = 25
 
 _SALT = np.uint64(0xA24BAED4963EE407)
 
@@ -121,13 +122,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(rows.start, len(first) - 1), lists], names=["class", "shingles"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar enough.
+def joined_pairs(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """a, b, sb, sa: the pairs with the second column of ``items`` for either class.
 
-    The set of ``b`` goes to ``a``, so a hub's own set is sent once, not once for each partner.
+    That of ``b`` goes to ``a``, so a hub's own is sent once, not once for each partner.
     """
-    with_b = pairs.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = with_b.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a")
+    content = items.columns[1]
+    with_b = pairs.join(items.select(F.col("class").alias("b"), F.col(content).alias("sb")), "b")
+    return with_b.join(items.select(F.col("class").alias("a"), F.col(content).alias("sa")), "a").select("a", "b", "sb", "sa")
+
+
+def similar_sets(both: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets ``sa`` and ``sb`` are similar enough."""
     common = F.size(F.array_intersect("sa", "sb"))
     return (
         both.select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
@@ -151,7 +157,7 @@ def _rarest(sketch: Broadcast, percent: int) -> Callable:
         counts = sketch.value.values
         for batch in batches:
             prefixes, rows, sizes, places = [np.zeros(0, dtype=np.uint64)], [], [], [np.zeros(0, dtype=np.int64)]
-            for row, shingles in enumerate(batch.column(2)):
+            for row, shingles in enumerate(batch.column(1)):
                 hashes = np.asarray(shingles.values).view(np.uint64)
                 n = len(hashes)
                 seen = counts[hashes >> np.uint64(64 - SKETCH_LOG)]
@@ -163,23 +169,40 @@ def _rarest(sketch: Broadcast, percent: int) -> Callable:
                 rows.extend([row] * len(prefix))
                 sizes.extend([n] * len(prefix))
             at = pa.array(rows, pa.int64())
-            columns = [pa.array(np.concatenate(prefixes).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)]
+            columns = [pa.array(np.concatenate(prefixes).view(np.int64)), batch.column(0).take(at)]
             columns += [pa.array(sizes, pa.int32()), pa.array(np.concatenate(places), pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "class", "component", "n", "i"])
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "class", "n", "i"])
+
+    return run
+
+
+def _named(table: Broadcast) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = bitfilter.contains(table, np.asarray(batch.column(2)).view(np.uint64), NAMED_LOG_BITS)
+            yield batch.select([0, 1]).filter(pa.array(hit))
 
     return run
 
 
-def linked_classes(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, name: str) -> DataFrame:
+def linked_classes(
+    keyed: DataFrame,
+    items_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    name: str,
+    sets_of: Callable[[DataFrame], DataFrame] = lambda items: items,
+    similar: Callable[[DataFrame, int], DataFrame] = similar_sets,
+) -> DataFrame:
     """node, component of the classes that share a key and are similar enough.
 
-    ``keyed`` has key and class; ``sets_of`` turns a frame of ``class`` into class, shingles.
+    ``keyed`` has key and class; ``items_of`` turns a frame of ``class`` into class and what is kept
+    of it; ``sets_of`` turns that into class, shingles, and ``similar`` picks the pairs alike.
     """
     heads = keyed.groupBy("key").agg(F.min("class").alias("head"), F.max("class").alias("last")).where("head < last")
     members = stored(keyed.join(heads.select("key", "head"), "key").distinct(), f"{name}-members")
-    sets = stored(sets_of(members.select("class").distinct()), f"{name}-sets")
+    items = stored(items_of(members.select("class").distinct()), f"{name}-items")
     stars = members.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
-    first_links = stored(confirmed(stars, sets, percent), f"{name}-stars")
+    first_links = stored(similar(joined_pairs(stars, items), percent), f"{name}-stars")
     united = components(first_links)
 
     labelled = members.join(united.withColumnRenamed("node", "class"), "class", "left").select(
@@ -188,10 +211,10 @@ def linked_classes(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     apart = stored(labelled.join(mixed.select("key"), "key", "left_semi").select("class", "component").distinct(), f"{name}-apart")
     # two sets that are similar enough share one of their rarest shingles, in any order that is the same for all
-    apart_sets = sets.join(apart, "class").select("class", "component", "shingles")
-    sketch = dense.total(apart_sets.select("shingles").mapInArrow(_sketch, dense.SCHEMA), 1 << SKETCH_LOG)
+    sets = sets_of(items)
+    sketch = dense.total(sets.select("shingles").mapInArrow(_sketch, dense.SCHEMA), 1 << SKETCH_LOG)
     rarest = _rarest(keyed.sparkSession.sparkContext.broadcast(dense.Packed(sketch.astype(np.int32))), percent)
-    prefixes = stored(apart_sets.mapInArrow(rarest, "key long, class long, component long, n int, i int"), f"{name}-prefixes")
+    prefixes = stored(sets.mapInArrow(rarest, "key long, class long, n int, i int").join(apart, "class"), f"{name}-prefixes")
     several = prefixes.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = prefixes.join(several.select("key"), "key", "left_semi")
     # what can still be common from the first common shingle on is at most the rest of either set;
@@ -208,7 +231,12 @@ def linked_classes(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         .select(F.least("class", "c").alias("a"), F.greatest("class", "c").alias("b"))
         .distinct()
     )
-    return components(stored(first_links.unionByName(confirmed(crossing, sets, percent)), f"{name}-links"))
+    # only what the pairs name is joined with them; the bit table keeps the rest out of the shuffle
+    crossing = stored(crossing, f"{name}-crossing")
+    named = crossing.select(F.explode(F.array("a", "b")).alias("class"))
+    table = bitfilter.build(named.select(F.xxhash64("class")), NAMED_LOG_BITS)
+    few = items.withColumn("h", F.xxhash64("class")).mapInArrow(_named(table), items.schema)
+    return components(stored(first_links.unionByName(similar(joined_pairs(crossing, few), percent)), f"{name}-links"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -224,11 +252,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.xxhash64("i", "x", "j", "y").alias("key"), "class"
     )
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
+    def sets_of_documents(wanted: DataFrame) -> DataFrame:
         texts = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("class"), "text")
         return texts.join(wanted, "class", "left_semi").mapInArrow(_sets, "class long, shingles array<long>")
 
-    found = linked_classes(keyed, sets_of, PERCENT, "near")
+    found = linked_classes(keyed, sets_of_documents, PERCENT, "near")
     labelled = classes.select("d1", "d2", "n_shingles", "class").join(found.withColumnRenamed("node", "class"), "class", "left")
     of_set = labelled.select("d1", "d2", "n_shingles", F.coalesce("component", "class").alias("component"))
     component = F.coalesce("component", "doc_id")
