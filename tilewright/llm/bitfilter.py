@@ -63,14 +63,62 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _rows(parts)
 
 
-def build(hashes: DataFrame, log_bits: int) -> Broadcast:
-    """Bit table of the only column (64-bit hashes as long); the driver sees 2 ** (log_bits - 3) bytes."""
-    schema = "chunk int, bits binary"
-    chunks = 1 << max(0, log_bits - CHUNK_LOG)
-    merged = hashes.mapInArrow(_set_bits(log_bits), schema).repartition(min(chunks, 32), "chunk").mapInArrow(_merge, schema)
+def _collected(hashes: DataFrame, merged: DataFrame, chunks: int) -> Broadcast:
     table = np.zeros(max(1, chunks) * _CHUNK_BYTES, dtype=np.uint8)
     codec = pa.Codec("zstd")
     for row in merged.toLocalIterator():
         bits = np.frombuffer(codec.decompress(bytes(row.bits), _CHUNK_BYTES), dtype=np.uint8)
         table[row.chunk * _CHUNK_BYTES : (row.chunk + 1) * _CHUNK_BYTES] = bits
     return hashes.sparkSession.sparkContext.broadcast(Packed(table))
+
+
+def build(hashes: DataFrame, log_bits: int) -> Broadcast:
+    """Bit table of the only column (64-bit hashes as long); the driver sees 2 ** (log_bits - 3) bytes."""
+    schema = "chunk int, bits binary"
+    chunks = 1 << max(0, log_bits - CHUNK_LOG)
+    merged = hashes.mapInArrow(_set_bits(log_bits), schema).repartition(min(chunks, 32), "chunk").mapInArrow(_merge, schema)
+    return _collected(hashes, merged, chunks)
+
+
+def _count_bits(log_bits: int) -> Callable:
+    """Two tables of a task: slots met, and slots met twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = 1 << max(0, log_bits - CHUNK_LOG)
+        once, twice = np.zeros((2, chunks * _CHUNK_BYTES), dtype=np.uint8)
+        for batch in batches:
+            slots, count = np.unique(_slots(np.asarray(batch.column(0)).view(np.uint64), log_bits), return_counts=True)
+            at, bit = slots >> np.uint64(3), np.uint8(1) << (slots & np.uint64(7)).astype(np.uint8)
+            again = (count > 1) | (once[at] & bit > 0)
+            np.bitwise_or.at(twice, at[again], bit[again])
+            np.bitwise_or.at(once, at, bit)
+        yield from _count_rows({c: (o, t) for c, (o, t) in enumerate(zip(np.split(once, chunks), np.split(twice, chunks))) if o.any()})
+
+    return run
+
+
+def _count_rows(parts: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    codec = pa.Codec("zstd")
+    for chunk, both in sorted(parts.items()):
+        packed = [pa.array([codec.compress(bits.tobytes(), asbytes=True)], pa.binary()) for bits in both]
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *packed], names=["chunk", "once", "twice"])
+
+
+def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec, parts = pa.Codec("zstd"), {}
+    for batch in batches:
+        for chunk, *both in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            once, twice = (np.frombuffer(codec.decompress(bits.as_buffer(), _CHUNK_BYTES), dtype=np.uint8) for bits in both)
+            if chunk in parts:
+                known, known_twice = parts[chunk]
+                once, twice = once | known, twice | known_twice | (once & known)
+            parts[chunk] = once, twice
+    yield from _rows({chunk: twice for chunk, (_, twice) in parts.items()})
+
+
+def build_twice(hashes: DataFrame, log_bits: int) -> Broadcast:
+    """Bit table of what the only column (64-bit hashes as long) holds twice or more, and some others."""
+    schema = "chunk int, once binary, twice binary"
+    chunks = 1 << max(0, log_bits - CHUNK_LOG)
+    counted = hashes.mapInArrow(_count_bits(log_bits), schema).repartition(min(chunks, 32), "chunk")
+    return _collected(hashes, counted.mapInArrow(_merge_counts, "chunk int, bits binary"), chunks)

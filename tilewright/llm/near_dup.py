@@ -38,6 +38,7 @@ PERCENT = 75
 #: Cells (a power of two) of the table by which shingles are called rare.
 SKETCH_LOG = 22
 NAMED_LOG_BITS = 25
+KEY_LOG_BITS = 27
 
 _SALT = np.uint64(0xA24BAED4963EE407)
 
@@ -176,6 +177,14 @@ def _rarest(sketch: Broadcast, percent: int) -> Callable:
     return run
 
 
+def _met(table: Broadcast) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bitfilter.contains(table, np.asarray(batch.column(0)).view(np.uint64), KEY_LOG_BITS)))
+
+    return run
+
+
 def _named(table: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,6 +207,9 @@ def linked_classes(
     ``keyed`` has key and class; ``items_of`` turns a frame of ``class`` into class and what is kept
     of it; ``sets_of`` turns that into class, shingles, and ``similar`` picks the pairs alike.
     """
+    # only keys that a first count finds twice are shuffled
+    met = bitfilter.build_twice(keyed.select("key"), KEY_LOG_BITS)
+    keyed = keyed.select("key", "class").mapInArrow(_met(met), "key long, class long")
     heads = keyed.groupBy("key").agg(F.min("class").alias("head"), F.max("class").alias("last")).where("head < last")
     members = stored(keyed.join(heads.select("key", "head"), "key").distinct(), f"{name}-members")
     items = stored(items_of(members.select("class").distinct()), f"{name}-items")
