@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import pytest
 
@@ -38,3 +39,20 @@ def test_line_dedup_by_runs_of_five(spark, monkeypatch):
     monkeypatch.setattr(brute, "char_set", char_set)
     got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, brute.SCHEMA).repartition(3)).collect()}
     assert got == brute.dedup_lines(rows) != eight
+
+
+def test_bands_lose_hardly_a_pair():
+    rnd = random.Random(12)
+    chars = [chr(c) for c in range(0x4E00, 0x9000)]
+    lines = []
+    for i in range(4000):
+        # 70 runs of five, of which the first 60 are common: exactly 0.75
+        a, b = rnd.sample(chars, 74), rnd.sample(chars, 10)
+        lines += [(2 * i, "".join(a)), (2 * i + 1, "".join(a[:64] + b))]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*lines)], names=["class", "line"])
+    keys = {}
+    for out in line_dedup._bands([batch]):
+        keys |= dict(zip(out.column(0).to_pylist(), out.column(1).to_pylist()))
+    lost = sum(not set(keys[2 * i]) & set(keys[2 * i + 1]) for i in range(4000))
+    # 0.0001 of the pairs are expected to be lost
+    assert lost <= 3
