@@ -9,7 +9,7 @@ pytest.importorskip("tilewright.llm")
 
 import brute  # noqa: E402
 
-from tilewright.llm import bitfilter, line_dedup  # noqa: E402
+from tilewright.llm import bitfilter, line_dedup, near_dup  # noqa: E402
 
 
 def test_a_changed_character_in_a_short_line(spark):
@@ -56,3 +56,18 @@ def test_bands_lose_hardly_a_pair():
     lost = sum(not set(keys[2 * i]) & set(keys[2 * i + 1]) for i in range(4000))
     # 0.0001 of the pairs are expected to be lost
     assert lost <= 3
+
+
+def test_table_keys_lose_hardly_a_pair():
+    # sets of 70 hashes with 60 in common: exactly 0.75
+    n = 40000
+    rnd = np.random.default_rng(9)
+    common = rnd.integers(0, 2**64, (n, 60), dtype=np.uint64)
+    keys = []
+    for _ in range(2):
+        sets = np.concatenate([common, rnd.integers(0, 2**64, (n, 10), dtype=np.uint64)], axis=1)
+        keys.append(near_dup._half_keys(sets.reshape(-1), np.arange(n) * 70))
+    same, halves = keys[0] == keys[1], near_dup.HALVES
+    met = same[:halves].any(axis=0) & same[halves:].any(axis=0)
+    # 0.00002 of the pairs are expected to be lost
+    assert n - met.sum() <= 6

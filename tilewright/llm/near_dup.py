@@ -4,14 +4,15 @@ The set of a document is its distinct runs of five lower-cased words (with fewer
 sequence). Two small collections of ``HALVES`` half keys are made of ``ROWS`` minhashes each; the
 keys of the hash tables are all pairs of a half key of the first and one of the second collection.
 ``HALVES ** 2`` tables of ``2 * ROWS`` rows thus cost ``2 * HALVES * ROWS`` minhashes. A pair of
-similarity ``s`` meets with probability ``(1 - (1 - s ** ROWS) ** HALVES) ** 2``: 0.9988 at 0.75, 0.9998 at 0.8.
+similarity ``s`` meets with probability ``(1 - (1 - s ** ROWS) ** HALVES) ** 2``: 0.99998 at 0.75.
 
 Documents of equal sets form a class and are represented by its smallest id. Within a table key,
 every class is first compared with the smallest of the key. What is linked so far is united. Classes
 that share a key with one of another component are then compared across components, where they also
 share one of their rarest shingles: the first quarter of a set in order of rarity must meet that of
-any set of similarity 0.75, so no link is lost, and large groups of copies or of texts that are only
-half alike are not expanded into all pairs.
+any set of similarity 0.75, so no link among classes that each share a key with some other class is
+lost, and large groups of copies or of texts that are only half alike are not expanded into all
+pairs. A class that shares no key with any other is not looked at again.
 
 Defined cases: null or blank texts have no set and are linked with nothing; rows with a null
 ``doc_id`` are left out; of a repeated ``doc_id`` each row is judged by its own text; columns other than ``doc_id`` and ``text`` are not read.
@@ -32,7 +33,7 @@ from tilewright.llm.components import components
 from tilewright.llm.shared import stored
 
 SHINGLE = 5
-HALVES = 9
+HALVES = 14
 ROWS = 2
 PERCENT = 75
 #: Cells (a power of two) of the table by which shingles are called rare.
