@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,7 @@ pytest.importorskip("tilewright.llm")
 
 import brute  # noqa: E402
 
-from tilewright.llm import bitfilter, line_dedup, near_dup  # noqa: E402
+from tilewright.llm import bitfilter, license_scan, line_dedup, near_dup  # noqa: E402
 
 
 def test_a_changed_character_in_a_short_line(spark):
@@ -71,3 +72,12 @@ def test_table_keys_lose_hardly_a_pair():
     met = same[:halves].any(axis=0) & same[halves:].any(axis=0)
     # 0.00002 of the pairs are expected to be lost
     assert n - met.sum() <= 6
+
+
+def test_licenses_wrapped_at_any_width(spark):
+    texts = [("MIT", license_scan.MIT), ("ISC", license_scan.ISC_GRANT + license_scan.ISC_NOTICE + license_scan.ISC_WARRANTY)]
+    rows = [(w, "Copyright (c) 2020 A. Person\n(c) 2021 B. Person\nCopyright C. Person\n" + textwrap.fill(t, w), name, "s", 1, "k") for name, t in texts for w in range(30, 120)]
+    rows.append((0, license_scan.ISC_GRANT + license_scan.ISC_NOTICE.replace("above ", "above\n") + license_scan.ISC_WARRANTY, "ISC", "s", 1, "k"))
+    docs = spark.createDataFrame(rows, brute.SCHEMA)
+    got = license_scan.scan_licenses(docs, license_scan.known_licenses(spark)).select("doc_id", "license").collect()
+    assert sorted(map(tuple, got)) == sorted((r[0], r[2]) for r in rows)

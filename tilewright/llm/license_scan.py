@@ -1,6 +1,6 @@
 """Licence scan by canonical digests. DataFrame functions only.
 
-The canonical form of a line: A-Z in lower case; nothing, if it is a copyright line; runs of
+The canonical form of a line: A-Z in lower case; nothing, if it is a copyright statement (a year, a (c) or a name follows); runs of
 anything but letters and digits (all beyond ASCII count as letters) as one space; equivalent
 spellings as one. That of a text: its non-empty canonical lines, joined by a space. The SHA-256 of
 a canonical text is joined with the digests of known licences; whole texts find licences, and
@@ -83,24 +83,33 @@ TEXTS = [
 ]
 # Digests of the canonical form of longer licences, as published.
 DIGESTS = [
-    ("Apache-2.0", "cc411e5c73676ae13e68bf0fe2c031a62b3a1ef56829577a7d168699686c1e7e"),
-    ("Artistic-1.0-Perl", "f273930184a9b8de03336e9ae5d74bef291165524044f55455ee5117f494811a"),
+    ("Apache-2.0", "ef9aa6097e8b8724e8bedf9a9a264cbc3142b55ef97f3c3f079b7aa1aeac425c"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
     ("BSD-3-Clause", "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9"),
     ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
-    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
-    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
-    ("GPL-1.0", "9e12a40a9b22c45d116f19e1746b08ea0b853519de3e03ceb780f2a36d5f388c"),
-    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
-    ("GPL-3.0", "5272fb2d9117cba4ebb1b4a6612e61ab05ddddeff56bd30c3ac3798e23821b30"),
-    ("LGPL-2.0", "96685b4d8003c3671feddcde58622afa814a3ac15dcc419f38b388aff5e16d1d"),
-    ("LGPL-2.1", "22bd2802b7b313faf9750f494c8f07c9eaa0e00ba5b9f7a300e8fa36cfd1319e"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
     ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
-    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
-    ("MPL-2.0", "3dacd2c104719e7227969cbdcc7d581518827199e830b9379627eec0a32f8ab7"),
+    ("MPL-1.1", "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
+    ("MPL-2.0", "9eab7902f21bef0326dee4ed0cae1402c781cbf1f8e3dbeed6fbe176d641bb13"),
 ]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT = r"^[^a-z0-9\x{80}-\x{10FFFF}]*(copyright|©|\(c\))([^a-z]|$)"
+# Words that follow "copyright" in running text, not in a statement.
+_NO_NAME = (
+    "also|and|or|in|to|of|on|for|the|that|is|are|as|if|law|laws|notice|notices|holder|holders|owner|owners|license|licenses|licence|licences|interest|"
+    "interests|statement|statements|disclaimer|treaty|rights|right|protection|permission|status|line|lines|year|date|infringement|resulting|works|work|under|may|list|permissions|doctrines|like|ownership|patent|those"
+)
+COPYRIGHT = (
+    r"^[^a-z0-9\x{80}-\x{10FFFF}]*((copyright(?![a-z])|©)[^a-z0-9]*(©|[0-9]{4}|\(c\)|(?!(?:"
+    + _NO_NAME
+    + r")(?![a-z]))[a-z\x{80}-\x{10FFFF}])|(\(c\)|©)[^a-z0-9]*(copyright|[0-9]{4}))"
+)
 OTHER = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 
