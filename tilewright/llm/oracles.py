@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tilewright.llm import credential_links as credentials
 from tilewright.llm import license_scan as licenses
+from tilewright.llm import phrases
 from tilewright.llm import quality_rules as rules
 
 #: The SQL keeps its line rule, and the digests of long licences under it.
@@ -130,3 +132,60 @@ def near_dedup() -> str:
     select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component, doc_id) as component_id, coalesce(component, doc_id) = doc_id as kept
     from d left join n using (doc_id) left join low using (doc_id)
     """
+
+
+def collocations() -> str:
+    lower = f"translate(coalesce(text, ''), '{licenses._UPPER}', '{licenses._LOWER}')"
+    return f"""
+    with d as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+    w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from d),
+    g as (select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase
+      from (select lang, k, words, unnest(range(1, len(words) - k + 2)) as i from w, range(1, {phrases.LONGEST + 1}) t(k) where len(words) >= k)),
+    f as (select lang, k, phrase, count(*) as f from g group by all),
+    total as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+    c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as words from f where k > 1 and f >= {phrases.THRESHOLD}),
+    cut as (select lang, k, phrase, a, j, array_to_string(words[1:j], ' ') as head, array_to_string(words[j + 1:], ' ') as tail
+      from (select *, unnest(range(1, k)) as j from c)),
+    s as (select cut.*, h.f as l, t.f as r, (1000000::hugeint * a * a) // (h.f::hugeint * t.f) as score
+      from cut join f h on h.lang = cut.lang and h.phrase = head join f t on t.lang = cut.lang and t.phrase = tail),
+    low as (select lang, k, phrase, a, arg_min({{'l': l, 'r': r, 's': score}}, {{'s': score, 'j': j}}) as v from s group by all),
+    kept as (select * from low where not exists (select 1 from c where c.lang = low.lang and c.k > low.k and 100 * c.a >= {phrases.SHARE} * low.a
+      and contains(' ' || c.phrase || ' ', ' ' || low.phrase || ' '))),
+    ranked as (select lang, row_number() over (partition by lang order by v.s desc, a desc, phrase) as rank, phrase, a, v.l as l, v.r as r, v.s as score from kept)
+    select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join total using (lang) where rank <= {phrases.TOP}
+    """
+
+
+def secrets() -> str:
+    quoted = lambda p: p.regex.replace("'", "''")
+    found = " union all ".join(
+        f"select rid, {n} as pattern, '{p.kind}' as kind, '{p.role}' as role, {p.strong} as strong, {p.least} as least, {p.most} as most, "
+        f"regexp_split_to_array(text, '{quoted(p)}') as gaps, regexp_extract_all(text, '{quoted(p)}', 0) as hits, "
+        f"regexp_extract_all(text, '{quoted(p)}', {p.group}) as parts from d where regexp_matches(text, '{quoted(p)}')"
+        for n, p in enumerate(credentials.PATTERNS)
+    )
+    complete = " or ".join(
+        f"pattern = {n} and ({' or '.join('(' + ' and '.join(f'near_{role}' for role in roles) + ')' for roles in p.needs)})"
+        for n, p in enumerate(credentials.PATTERNS)
+        if not p.strong
+    )
+    reach = credentials.REACH
+    near = ", ".join(f"bool_or(b.role = '{role}') as near_{role}" for role in credentials.ROLES)
+    kinds = "[" + ", ".join(f"'{kind}'" for kind in credentials.KINDS) + "]"
+    return f"""
+    with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+    found as ({found}),
+    each as (select * exclude (gaps, hits, parts), i, length(gaps[i]) as gap, length(hits[i]) as long, length(parts[i]) as part
+      from (select *, unnest(range(1, len(hits) + 1)) as i from found)),
+    placed as (select *, sum(gap + long) over (partition by rid, pattern order by i) as stop from each),
+    p as (select rid, pattern, kind, role, strong, (stop - long)::bigint as start, stop::bigint as stop from placed where part between least and most),
+    seen as (select a.rid, a.pattern, a.kind, a.start, a.stop, bool_or(b.strong and b.start < a.stop and b.stop > a.start) as covered, {near}
+      from p a join p b on a.rid = b.rid and b.start < a.stop + {reach} and b.stop > a.start - {reach} where not a.strong group by all),
+    spans as (select rid, kind, true as strong, start, stop from p where strong
+      union select rid, kind, false, start, stop from seen where not covered and ({complete})),
+    named as (select *, kind || ':' || start || ':' || stop as name, list_position({kinds}, kind) as place from spans),
+    r as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+      string_agg(name, ',' order by start, place, stop) filter (strong) as base, string_agg(name, ',' order by start, place, stop) as spans from named group by rid)
+    select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex,
+      sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join r using (rid)
+    """

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilewright.llm import credential_links as credentials
 from tilewright.llm import decontamination as leaks
 from tilewright.llm import license_scan as licenses
 from tilewright.llm import line_dedup as lines
 from tilewright.llm import mixing_model as mixing
 from tilewright.llm import near_dup as near
-from tilewright.llm import oracles, packing, token_files
+from tilewright.llm import oracles, packing, phrases, token_files, whitening
 from tilewright.llm import quality_model as model
 from tilewright.llm import quality_rules as rules
 from tilewright.llm import substring_dedup as substrings
@@ -72,6 +73,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.secret_report(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("strong_spans", 256).alias("base_sha256"), "spans")
+
+
 def _prepared(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -92,5 +106,8 @@ _QUERIES = {
     "op8_near_dedup": (op8_near_dedup, oracles.near_dedup()),
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality_rules": (op10_quality_rules, oracles.quality_rules()),
+    "op11_collocations": (op11_collocations, oracles.collocations()),
+    "op12_whitening": (op12_whitening, None),
+    "op13_secrets": (op13_secrets, oracles.secrets()),
 }
 QUERIES = {name: (_prepared(run), sql) for name, (run, sql) in _QUERIES.items()}
