@@ -141,8 +141,12 @@ def test_flatfield_finds_planted_shading(spark):
     level = rng.integers(500, 20000, (300, 1, 1))
     stack = np.rint(level * shade)
     rows = spark.createDataFrame([box(stack[k : k + 1], origin=(k, 0, 0)) for k in range(300)], BOX)
-    field = FF.estimate(FF.pixel_counts(rows))
-    s = {(r["y"], r["x"]): r["s"] for r in field.collect()}
+    # cells that are no part of the image's sides
+    small = FF.estimate(FF.cell_histograms(rows, (4, 3)), (4, 3))
+    field = FF.estimate(FF.cell_histograms(rows, (8, 8)), (8, 8))
+    s, same = ({(r["y"], r["x"]): (r["s"], r["t"]) for r in FF.field_rows(f).collect()} for f in (field, small))
+    assert s.keys() == same.keys() and np.allclose([s[k] for k in s], [same[k] for k in s])
+    s = {k: v[0] for k, v in s.items()}
     assert np.allclose([[s[y, x] for x in range(8)] for y in range(6)], shade, atol=1e-3)
     fixed = image(FF.apply_field(rows, field, (8, 8)).collect(), stack.shape)
     assert np.abs(fixed.astype(float) - level).max() / 20000 < 2e-3
@@ -151,7 +155,39 @@ def test_flatfield_finds_planted_shading(spark):
 def test_flatfield_needs_equal_depth(spark):
     rows = spark.createDataFrame([box(np.ones((1, 2, 2))), box(np.ones((1, 1, 2)), origin=(1, 0, 0))], BOX)
     with pytest.raises(Exception, match="same number of samples"):
-        FF.estimate(FF.pixel_counts(rows)).collect()
+        FF.estimate(FF.cell_histograms(rows, (8, 8)), (8, 8)).collect()
+
+
+def test_histograms_are_packed_and_bounded(spark, monkeypatch):
+    stack = np.random.default_rng(4).integers(0, 65536, (40, 9, 13))
+    rows = spark.createDataFrame([box(stack[k : k + 1, y : y + 5, :], origin=(k, y, 0)) for k in range(40) for y in (0, 4)][:80], BOX)
+    whole = spark.createDataFrame([box(stack[k : k + 1], origin=(k, 0, 0)) for k in range(40)], BOX)
+    want = {}
+    for (k, y, x), v in np.ndenumerate(stack):
+        want[y, x, int(v)] = want.get((y, x, int(v)), 0) + 1
+    monkeypatch.setattr(FF, "HELD", 500)
+    hist = FF.cell_histograms(whole, (4, 6))
+    got = {(r.y, r.x, r.v): r.n for r in FF.histogram_rows(hist, (4, 6)).collect()}
+    assert got == want and hist.count() == 3 * 3
+    # boxes that lie across cells and each other count twice where they do
+    twice = {(r.y, r.x): r.n for r in FF.histogram_rows(FF.cell_histograms(rows, (4, 6)), (4, 6)).groupBy("y", "x").agg(F.sum("n").alias("n")).collect()}
+    assert twice[4, 0] == 80 and twice[3, 12] == 40
+    # the bound of a binned cell doesn't depend on the depth
+    binned = FF.cell_histograms(whole, (4, 6), 16, 1000, 50000).select(F.max(F.length("codes")).alias("b")).first().b
+    assert binned <= 4 * 6 * 16 * 8
+    rows = FF.histogram_rows(FF.cell_histograms(whole, (4, 6), 16, 1000, 50000), (4, 6)).collect()
+    bins = np.clip((stack - 1000) * 16 // 49000, 0, 15) * 49000 // 16 + 1000
+    assert {(r.y, r.x, r.v): r.n for r in rows} == {k: n for k, n in zip(*np.unique([(y, x, v) for (_, y, x), v in np.ndenumerate(bins)], axis=0, return_counts=True)) for k in [tuple(k.tolist())]}
+
+
+def test_flatfield_shuffles_no_pixel_rows(spark, world):
+    blocks = convert_to_blocks(spark.createDataFrame([box(world)], BOX), (4, 40, 40))
+    plan = FF.cell_histograms(blocks, (40, 40))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning(acq_id" in plan and "cy#" in plan and ", y#" not in plan
+    deep = FF.estimate(FF.cell_histograms(blocks, (40, 40), 64, 0, 4000), (40, 40))
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert deep.count() == 9
 
 
 def test_blur_keeps_constants_and_matches_direct_sum(spark, world):

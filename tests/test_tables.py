@@ -175,7 +175,7 @@ def test_raw_planes_and_attributes(spark, tmp_path):
 
 
 def test_field_is_replaced_per_channel(spark, tmp_path):
-    rows = lambda c, s: spark.createDataFrame([("a", c, 0, 0, s, 0.0)], "acq_id string, channel int, y long, x long, s double, t double")
+    rows = lambda c, s: spark.createDataFrame([("a", c, 0, s)], "acq_id string, channel int, cy long, s double")
     path = str(tmp_path / "field")
     SB.write_field(rows(0, 1.0).unionByName(rows(1, 1.0)), path)
     SB.write_field(rows(1, 2.0), path)

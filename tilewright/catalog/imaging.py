@@ -21,6 +21,7 @@ from tilewright.session import cut_lineage
 SEARCH = (0, 4, 4)
 MIN_OVERLAP = 128
 OUT_CELL = (1, 32, 32)
+FIELD_CELL = (8, 8)
 HIST_BINS, HIST_LOW, HIST_HIGH = 256, 0, 2048
 
 
@@ -59,7 +60,8 @@ def channel_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tilewright.operators.manifest import select_channel
 
     chosen = select_channel(V.stack(spark, sf_dir), "ch3")
-    return FF.pixel_counts(chosen).groupBy("channel", "y", "x").agg(
+    rows = FF.histogram_rows(FF.cell_histograms(chosen, FIELD_CELL), FIELD_CELL)
+    return rows.groupBy("channel", "y", "x").agg(
         F.sum("n").alias("n"), F.sum(F.col("v") * F.col("n")).alias("sum_v")
     )
 
@@ -134,8 +136,10 @@ CHANNEL_METADATA = """select vec_id % 4 as channel, count(distinct vec_id // 4)
 
 
 def pixel_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = FF.pixel_counts(V.stack(spark, sf_dir))
-    return FF.histogram(counts, HIST_BINS, HIST_LOW, HIST_HIGH).drop("acq_id")
+    counted = FF.cell_histograms(V.stack(spark, sf_dir), FIELD_CELL, HIST_BINS, HIST_LOW, HIST_HIGH)
+    width = (HIST_HIGH - HIST_LOW) // HIST_BINS
+    bin_no = F.floor((F.col("v") - HIST_LOW) / width).alias("bin")
+    return FF.histogram_rows(counted, FIELD_CELL).select("channel", "y", "x", bin_no, "n")
 
 
 PIXEL_HISTOGRAM = f"""with {V.STACK}
@@ -143,8 +147,8 @@ select channel, y, x, cast(least(greatest(v * 256 // 2048, 0), 255) as bigint) a
 
 
 def flatfield_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    field = FF.estimate(FF.pixel_counts(V.stack(spark, sf_dir)))
-    return field.select("channel", "y", "x", F.round("s", 6).alias("s"), F.round("t", 4).alias("t"))
+    field = FF.estimate(FF.cell_histograms(V.stack(spark, sf_dir), FIELD_CELL), FIELD_CELL)
+    return FF.field_rows(field).select("channel", "y", "x", F.round("s", 6).alias("s"), F.round("t", 4).alias("t"))
 
 
 _FIELD = """ranked as (select *, row_number() over (partition by channel, y, x order by v) as k from {src}),
@@ -161,9 +165,8 @@ select channel, y, x, round(s, 6) as s, round(t, 4) as t from field"""
 
 def flatfield_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large-stack variant: order statistics from 256 bins."""
-    counts = FF.binned_counts(FF.pixel_counts(V.stack(spark, sf_dir)), HIST_BINS, HIST_LOW, HIST_HIGH)
-    field = FF.estimate(counts)
-    return field.select("channel", "y", "x", F.round("s", 6).alias("s"), F.round("t", 4).alias("t"))
+    counted = FF.cell_histograms(V.stack(spark, sf_dir), FIELD_CELL, HIST_BINS, HIST_LOW, HIST_HIGH)
+    return FF.field_rows(FF.estimate(counted, FIELD_CELL)).select("channel", "y", "x", F.round("s", 6).alias("s"), F.round("t", 4).alias("t"))
 
 
 FLATFIELD_BINNED = f"""with {V.STACK},
@@ -173,10 +176,9 @@ select channel, y, x, round(s, 6) as s, round(t, 4) as t from field"""
 
 def flatfield_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     stack = V.stack(spark, sf_dir)
-    field = FF.estimate(FF.pixel_counts(stack))
     # Rounding the field keeps the corrected integers free of last-digit noise.
-    field = field.withColumns({"s": F.round("s", 6), "t": F.round("t", 4)})
-    return _lines(FF.apply_field(stack, field, (8, 8)), ["channel"]).drop("x0")
+    field = FF.rounded(FF.estimate(FF.cell_histograms(stack, FIELD_CELL), FIELD_CELL), 6, 4)
+    return _lines(FF.apply_field(stack, field, FIELD_CELL), ["channel"]).drop("x0")
 
 
 FLATFIELD_APPLIED = f"""with {V.STACK}, {_FIELD.format(src='stack')}

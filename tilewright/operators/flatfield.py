@@ -1,12 +1,14 @@
-"""Flatfield: per-pixel histograms, brightfield/offset estimate, correction.
+"""Flatfield: per-block histograms, brightfield/offset estimate, correction.
 
 Model ``observed = S * true + T``.  For each pixel the samples of the stack are ordered;
 ``M_k`` is the mean over pixels of the k-th smallest; ``S`` and ``T`` are the least-squares
 line of a pixel's ordered samples on ``M``.  (``mean(S) = 1`` and ``mean(T) = 0`` over
 pixels follow from ``M`` being the mean.)
 
-Ordered samples are never sorted row by row: a histogram of each pixel is the same
-information, it is counted before the shuffle, and its size does not grow with the stack.
+The image plane is cut into cells.  A task counts the samples of a cell in one buffer, z and tiles
+pooled, and sends it as one packed row; a cell's rows are added up into its histogram.  Cells then
+give their part of the channel's curve (a value per rank), the curves are added up, and every cell is
+fitted against the curve of its channel.  No pixel and no sample is a row of a shuffle.
 """
 
 from __future__ import annotations
@@ -14,167 +16,237 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tilewright.functions.running import running_sum
 from tilewright.operators.boxes import BOX_FIELDS, broadcast_if_bounded, fields_of, map_boxes, pixels, reduce_boxes, to_bytes
 from tilewright.session import cut_lineage
 
 CHANNEL = ["acq_id", "channel"]
-PIXEL = [*CHANNEL, "y", "x"]
+CELL_YX = ["cy", "cx"]
+#: Entries that a task holds before it sends its buffers.
+HELD = 4 << 20
 
 
-def pixel_counts(blocks: DataFrame) -> DataFrame:
-    """``acq_id, channel, y, x, v, n``: 2-D sample counts with z and tiles pooled.
+def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Equal codes added up, in order."""
+    code, count = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(code, kind="stable")
+    code, count = code[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, "int64")
+    return code[first], np.add.reduceat(count, first) if len(code) else count
 
-    Each Arrow batch is counted in numpy, so pixels never become one row per sample.
+
+def cell_histograms(
+    blocks: DataFrame, cell_yx: tuple[int, int], bins: int | None = None, low: int = 0, high: int = 65536
+) -> DataFrame:
+    """``acq_id, channel, cy, cx, codes, counts``: one packed histogram per channel and cell of the plane.
+
+    A code is ``place in the cell * 65536 + value`` (int64), its count an int64.  With ``bins``, values
+    are the lower bounds of equal bins of ``[low, high)`` (samples outside go to the end bins), so a
+    cell's size has a bound that the depth of the stack doesn't change.
+    """
+    ch, cw = cell_yx
+    fields = [*fields_of(blocks, CHANNEL), *[T.StructField(c, T.LongType()) for c in CELL_YX]]
+    schema = T.StructType([*fields, T.StructField("codes", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+    arrow = to_arrow_schema(schema)
+    value = np.arange(65536, dtype="int64")
+    if bins is not None:
+        bin_no = np.clip((value - low) * bins // (high - low), 0, bins - 1)
+        value = bin_no * (high - low) // bins + low
+
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        for key, (codes, counts) in held.items():
+            code, count = _merged(codes, counts)
+            yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, (*key, code.tobytes(), count.tobytes())))], schema=arrow)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {}, 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                stack = np.frombuffer(row["data"], "<u2").reshape(-1, row["ny"], row["nx"])
+                y0, x0 = row["y0"], row["x0"]
+                for cy in range(y0 // ch, (y0 + row["ny"] - 1) // ch + 1):
+                    for cx in range(x0 // cw, (x0 + row["nx"] - 1) // cw + 1):
+                        top, left = max(0, cy * ch - y0), max(0, cx * cw - x0)
+                        part = stack[:, top : (cy + 1) * ch - y0, left : (cx + 1) * cw - x0]
+                        y = np.arange(part.shape[1]) + y0 + top - cy * ch
+                        x = np.arange(part.shape[2]) + x0 + left - cx * cw
+                        code = (((y[:, None] * cw + x) << 16)[None] + value[part]).reshape(-1)
+                        codes, counts = held.setdefault((row["acq_id"], row["channel"], cy, cx), ([], []))
+                        one, n = np.unique(code, return_counts=True)
+                        codes.append(one)
+                        counts.append(n)
+                        size += len(one)
+                if size > HELD:
+                    # a cell's planes repeat their values: adding up makes room first
+                    held = {key: tuple([part] for part in _merged(*parts)) for key, parts in held.items()}
+                    size = sum(len(codes[0]) for codes, _ in held.values())
+                    if size > HELD // 2:
+                        yield from rows(held)
+                        held, size = {}, 0
+        yield from rows(held)
+
+    counted = blocks.select(*CHANNEL, "y0", "x0", "ny", "nx", "data").mapInArrow(count, schema)
+
+    def add(key, parts):
+        codes, counts = np.zeros(0, "int64"), np.zeros(0, "int64")
+        for r in parts:
+            codes, counts = _merged([codes, np.frombuffer(r.codes, "int64")], [counts, np.frombuffer(r.counts, "int64")])
+        yield (*key, codes.tobytes(), counts.tobytes())
+
+    return reduce_boxes(counted, [*CHANNEL, *CELL_YX], add, schema)
+
+
+def histogram_rows(histograms: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
+    """``acq_id, channel, y, x, v, n``: the histograms in long form, as the last step before a report."""
+    ch, cw = cell_yx
+    schema = T.StructType([*fields_of(histograms, CHANNEL), *[T.StructField(c, T.LongType()) for c in ("y", "x", "v", "n")]])
+
+    def explode(row):
+        code, count = np.frombuffer(row.codes, "int64"), np.frombuffer(row.counts, "int64")
+        place = code >> 16
+        columns = (place // cw + row.cy * ch, place % cw + row.cx * cw, code & 0xFFFF, count)
+        for values in zip(*(c.tolist() for c in columns)):
+            yield (row.acq_id, row.channel, *values)
+
+    return map_boxes(histograms, explode, schema)
+
+
+def _by_pixel(codes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places that have samples, and how many each has."""
+    code, count = np.frombuffer(codes, "int64"), np.frombuffer(counts, "int64")
+    place, first = np.unique(code >> 16, return_index=True)
+    return place, np.add.reduceat(count, first) if len(first) else count
+
+
+def _ordered(codes: bytes, counts: bytes, depth: int) -> np.ndarray:
+    """pixels x depth: every pixel's samples in rising order."""
+    return np.repeat(np.frombuffer(codes, "int64") & 0xFFFF, np.frombuffer(counts, "int64")).reshape(-1, depth)
+
+
+def curves(histograms: DataFrame) -> DataFrame:
+    """``acq_id, channel, n_px, depth, q``: per channel the sums over pixels of the k-th smallest samples (int64 bytes).
+
+    Every pixel of a channel must have the same number of samples.
     """
     schema = T.StructType(
         [
-            *fields_of(blocks, CHANNEL),
-            *[T.StructField(c, T.LongType()) for c in ("y", "x", "v", "n")],
+            *fields_of(histograms, CHANNEL),
+            T.StructField("n_px", T.LongType()),
+            T.StructField("depth", T.LongType()),
+            T.StructField("q", T.BinaryType()),
         ]
     )
-    names = schema.fieldNames()
+    uneven = "every pixel of a channel needs the same number of samples"
+
+    def part(row):
+        place, depths = _by_pixel(row.codes, row.counts)
+        if len(place):
+            if depths.min() != depths.max():
+                raise ValueError(uneven)
+            q = _ordered(row.codes, row.counts, int(depths[0])).sum(axis=0)
+            yield (row.acq_id, row.channel, len(place), int(depths[0]), q.tobytes())
+
+    def add(key, parts):
+        n_px, depth, q = 0, None, 0
+        for r in parts:
+            if depth not in (None, r.depth):
+                raise ValueError(uneven)
+            n_px, depth, q = n_px + r.n_px, r.depth, q + np.frombuffer(r.q, "int64")
+        yield (*key, n_px, depth, q.tobytes())
+
+    parts = map_boxes(histograms, part, schema)
+    return reduce_boxes(parts, CHANNEL, add, schema)
+
+
+def estimate(histograms: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
+    """``acq_id, channel, cy, cx, y0, x0, fy, fx, s, t``: fields as float64 planes, one box per cell of the histograms."""
+    ch, cw = cell_yx
+    # Counting reads all samples; both later steps read the histograms.
+    histograms = cut_lineage(histograms)
+    curve = cut_lineage(curves(histograms))
+    # A curve is 8 bytes per rank: as large as the deepest stack, of which the count is taken first.
+    deepest = curve.agg(F.max("depth")).first()[0] or 0
+    met = histograms.join(broadcast_if_bounded(curve, row_bytes=8 * deepest + 64), CHANNEL)
+    longs = [T.StructField(c, T.LongType()) for c in (*CELL_YX, "y0", "x0", "fy", "fx")]
+    planes = [T.StructField(c, T.BinaryType()) for c in ("s", "t")]
+    schema = T.StructType([*fields_of(histograms, CHANNEL), *longs, *planes])
+
+    def fit(row):
+        place, _ = _by_pixel(row.codes, row.counts)
+        mean = np.frombuffer(row.q, "int64") / row.n_px
+        centred = mean - mean.mean()
+        spread = float(centred @ centred)
+        v = _ordered(row.codes, row.counts, row.depth).astype("float64")
+        # A stack without any spread carries no shading: S = 1.
+        s = v @ centred / spread if spread > 0 else np.ones(len(v))
+        t = v.mean(axis=1) - s * mean.mean()
+        y, x = place // cw, place % cw
+        top, left = int(y.min()), int(x.min())
+        fy, fx = int(y.max()) + 1 - top, int(x.max()) + 1 - left
+        scale, shift = np.ones((fy, fx)), np.zeros((fy, fx))
+        scale[y - top, x - left], shift[y - top, x - left] = s, t
+        yield (
+            row.acq_id, row.channel, row.cy, row.cx, row.cy * ch + top, row.cx * cw + left, fy, fx,
+            to_bytes(scale, "<f8"), to_bytes(shift, "<f8"),
+        )
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for key, rows in batch.groupby([*CHANNEL, "y0", "x0", "ny", "nx"], sort=False):
-                acq, channel, y0, x0, ny, nx = key
-                stack = np.concatenate([np.frombuffer(d, "<u2").reshape(-1, ny * nx) for d in rows["data"]])
-                at = np.broadcast_to(np.arange(ny * nx, dtype="int64"), stack.shape)
-                code, n = np.unique((at << 16) | stack, return_counts=True)
-                at, v = code >> 16, code & 0xFFFF
-                yield pd.DataFrame(
-                    {"acq_id": acq, "channel": channel, "y": y0 + at // nx, "x": x0 + at % nx, "v": v, "n": n},
-                    columns=names,
-                )
-
-    shape = ["y0", "x0", "ny", "nx"]
-    counted = blocks.select(*CHANNEL, *shape, "data").mapInPandas(count, schema)
-    return counted.groupBy(*PIXEL, "v").agg(F.sum("n").alias("n"))
-
-
-def histogram(counts: DataFrame, bins: int, low: int, high: int) -> DataFrame:
-    """``pixel, bin, n``: equal bins of ``[low, high)``; samples outside go to the end bins."""
-    place = F.floor((F.col("v") - low) * bins / F.lit(high - low))
-    bin_no = F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("long")
-    return counts.groupBy(*PIXEL, bin_no.alias("bin")).agg(F.sum("n").alias("n"))
-
-
-def binned_counts(counts: DataFrame, bins: int, low: int, high: int) -> DataFrame:
-    """Counts with each sample replaced by its bin's lower bound: the large-stack variant."""
-    width = (high - low) / bins
-    return histogram(counts, bins, low, high).select(
-        *PIXEL, (F.floor(F.col("bin") * width) + low).cast("long").alias("v"), "n"
-    )
+    return map_boxes(met, fit, schema)
 
 
-def estimate(counts: DataFrame) -> DataFrame:
-    """``acq_id, channel, y, x, s, t`` from per-pixel counts; every pixel of a channel must have the same total."""
-    # Counting reads all pixels; every later step reads the counts.
-    counts = cut_lineage(counts)
-    exact = lambda c: c.cast("decimal(38,0)")
-    per_pixel = Window.partitionBy(*PIXEL).orderBy("v")
-    # A run of equal samples occupies ranks lo .. lo+n-1 (0-based) of its pixel.
-    runs = counts.select(
-        *PIXEL, "v", "n",
-        (F.sum("n").over(per_pixel) - F.col("n")).alias("lo"),
-        (F.col("v") - F.coalesce(F.lag("v").over(per_pixel), F.lit(0))).alias("rise"),
-    )
-    # Q(k) = n_px * M_k is a step function of the rank: it rises where runs begin, and
-    # R(k) = Q(0) + .. + Q(k-1) = k * Q(k) - sum over steps up to k of rise * lo.
-    steps = runs.groupBy(*CHANNEL, "lo").agg(F.sum("rise").alias("rise"))
-    steps = steps.withColumn("late", exact(F.col("rise")) * exact(F.col("lo")))
-    curve = running_sum(steps, CHANNEL, "lo", {"q": "rise", "late_sum": "late"}).select(
-        *CHANNEL, "lo", "rise", "late", (exact(F.col("lo")) * exact(F.col("q")) - F.col("late_sum")).alias("r")
-    )
-    weighted = F.sum(F.col("rise").cast("double") * F.col("r").cast("double")).alias("rise_r")
-    # sum_k v(k) Q(k) = v_last * R(depth) - sum over runs of rise * R(lo).
-    pixel = (
-        runs.join(curve.select(*CHANNEL, "lo", "r"), [*CHANNEL, "lo"])
-        .groupBy(*PIXEL)
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(exact(F.col("v") * F.col("n"))).cast("double").alias("sum_v"),
-            F.max("v").cast("double").alias("v_last"),
-            weighted,
+def rounded(field: DataFrame, s_digits: int, t_digits: int) -> DataFrame:
+    """The field with ``s`` and ``t`` rounded, so that corrected samples don't hang on a last digit."""
+    names = field.columns
+    digits = {"s": s_digits, "t": t_digits}
+
+    def step(row):
+        yield tuple(
+            to_bytes(np.round(np.frombuffer(getattr(row, c), "<f8"), digits[c]), "<f8") if c in digits else getattr(row, c) for c in names
         )
-    )
-    sizes = pixel.groupBy(*CHANNEL).agg(
-        F.count("*").alias("n_px"), F.max("n").alias("depth"), F.min("n").alias("least")
-    )
-    # The same identity with Q in place of v gives sum_k Q(k)^2.
-    ends = curve.groupBy(*CHANNEL).agg(
-        exact(F.sum("rise")).alias("q_last"), F.sum("late").alias("late_all"), weighted.alias("steps_r")
-    )
-    whole = exact(F.col("depth")) * F.col("q_last") - F.col("late_all")
-    uneven = F.raise_error(F.lit("every pixel of a channel needs the same number of samples"))
-    channel = sizes.join(ends, CHANNEL).withColumn(
-        "sum_q",
-        F.when(F.col("least") == F.col("depth"), whole.cast("double")).otherwise(uneven.cast("double")),
-    )
-    channel = channel.select(
-        *CHANNEL, "n_px", "sum_q", (F.col("q_last").cast("double") * F.col("sum_q") - F.col("steps_r")).alias("sum_qq")
-    )
-    fitted = pixel.join(channel, CHANNEL)
-    n, sv, sq = F.col("n").cast("double"), F.col("sum_v"), F.col("sum_q")
-    sum_vq = F.col("v_last") * sq - F.col("rise_r")
-    spread = n * F.col("sum_qq") - sq * sq
-    # A stack without any spread carries no shading: S = 1.
-    slope = F.when(spread > 0, (n * sum_vq - sv * sq) / spread * F.col("n_px")).otherwise(F.lit(1.0))
-    fitted = fitted.withColumn("s", slope)
-    return fitted.select(*PIXEL, "s", ((sv - F.col("s") * sq / F.col("n_px")) / n).alias("t"))
-
-
-def field_blocks(field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
-    """Fields as boxes on the pixel blocks' grid, ``s`` and ``t`` as float64 planes."""
+
+    return map_boxes(field, step, field.schema)
+
+
+def field_rows(field: DataFrame) -> DataFrame:
+    """``acq_id, channel, y, x, s, t`` of every pixel of the field boxes."""
     schema = T.StructType(
         [
             *fields_of(field, CHANNEL),
-            T.StructField("cy", T.LongType()),
-            T.StructField("cx", T.LongType()),
-            T.StructField("fy", T.LongType()),
-            T.StructField("fx", T.LongType()),
-            T.StructField("s", T.BinaryType()),
-            T.StructField("t", T.BinaryType()),
+            *[T.StructField(c, T.LongType()) for c in ("y", "x")],
+            *[T.StructField(c, T.DoubleType()) for c in ("s", "t")],
         ]
     )
-    ch, cw = cell_yx
 
-    def assemble(key, rows):
-        y, x, scale, shift = (np.array(c) for c in zip(*((r.y, r.x, r.s, r.t) for r in rows)))
-        y, x = y - key[2] * ch, x - key[3] * cw
-        ny, nx = y.max() + 1, x.max() + 1
-        s, t = np.ones((ny, nx)), np.zeros((ny, nx))
-        s[y, x], t[y, x] = scale, shift
-        yield (*key, int(ny), int(nx), to_bytes(s, "<f8"), to_bytes(t, "<f8"))
+    def explode(row):
+        s, t = (np.frombuffer(p, "<f8") for p in (row.s, row.t))
+        for k, (a, b) in enumerate(zip(s.tolist(), t.tolist())):
+            yield (row.acq_id, row.channel, row.y0 + k // row.fx, row.x0 + k % row.fx, a, b)
 
-    placed = field.withColumn("cy", F.floor(F.col("y") / ch)).withColumn("cx", F.floor(F.col("x") / cw))
-    return reduce_boxes(placed, [*CHANNEL, "cy", "cx"], assemble, schema)
+    return map_boxes(field, explode, schema)
 
 
 def apply_field(blocks: DataFrame, field: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
     """Corrected blocks: ``(v - T) / S``, never below 0, rounded half up.
 
-    ``cell_yx`` is the grid the blocks lie on.
+    ``cell_yx`` is the grid that both the blocks and the field's boxes lie on.
 
     The field is small (one image per channel) next to the blocks; it is broadcast when its
     counted size allows, so the blocks are not shuffled.
     """
     ch, cw = cell_yx
     # Counted and used: written once, so the field is not fitted twice.
-    boxes_side = broadcast_if_bounded(cut_lineage(field_blocks(field, cell_yx)), row_bytes=16 * ch * cw)
+    boxes_side = broadcast_if_bounded(cut_lineage(field).withColumnsRenamed({"y0": "top", "x0": "left"}), row_bytes=16 * ch * cw)
     keyed = blocks.withColumn("cy", F.floor(F.col("y0") / ch)).withColumn("cx", F.floor(F.col("x0") / cw))
-    met = keyed.join(boxes_side, [*CHANNEL, "cy", "cx"])
     names = blocks.columns
+    met = keyed.join(boxes_side, [*CHANNEL, *CELL_YX])
 
     def correct(row):
         block = pixels(row.data, row.nz, row.ny, row.nx).astype("float64")
-        y, x = row.y0 - row.cy * ch, row.x0 - row.cx * cw
+        y, x = row.y0 - row.top, row.x0 - row.left
         s = np.frombuffer(row.s, "<f8").reshape(row.fy, row.fx)[y : y + row.ny, x : x + row.nx]
         t = np.frombuffer(row.t, "<f8").reshape(row.fy, row.fx)[y : y + row.ny, x : x + row.nx]
         true = np.clip(np.floor((block - t) / np.where(s > 0, s, 1.0) + 0.5), 0, 65535)

@@ -42,8 +42,8 @@ def read_attributes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_field(field: DataFrame, path: str) -> None:
-    """Flatfield fields; an earlier result of the same acquisition and channel is replaced."""
-    field.repartition(*PARTITION, F.floor(F.col("y") / 64)).write.mode("overwrite").option(
+    """Flatfield boxes; an earlier result of the same acquisition and channel is replaced."""
+    field.repartition(*PARTITION, "cy").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*PARTITION).parquet(path)
 
