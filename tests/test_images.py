@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tilewright.operators import flatfield as FF
 from tilewright.operators import fuse as FU
+from tilewright.operators import register as RE
 from tilewright.operators import solve as SO
 from tilewright.operators.blocks import convert_to_blocks, tile_sizes
 from tilewright.operators.blur import gaussian_blur
@@ -75,6 +76,53 @@ def test_stitch_volume_recovers_planted_places(spark, world):
     assert all(np.allclose(got[i], np.array(t) - (1, 0, 0), atol=1e-3) for i, t in enumerate(true))
     assert log.agg(F.max("max_err")).first()[0] < 1e-6
 
+def overlapping(world, a_at, b_at, size, jitter=0):
+    a = world[a_at[0] : a_at[0] + size[0], a_at[1] : a_at[1] + size[1], a_at[2] : a_at[2] + size[2]]
+    b = world[b_at[0] : b_at[0] + size[0], b_at[1] : b_at[1] + size[1], b_at[2] : b_at[2] + size[2]]
+    return a, b + jitter
+
+
+def test_windows_give_the_correlation_of_the_whole_overlap(spark, world):
+    size, search = (10, 60, 60), (1, 3, 3)
+    noise = np.random.default_rng(6).integers(0, 1500, size)
+    a, b = overlapping(world, (1, 0, 0), (0, 31, 2), size, noise)
+    nominal = [(0, 0, 0), (0, 30, 0)]
+    blocks = convert_to_blocks(spark.createDataFrame([box(a, tile=0), box(b, tile=1)], BOX), (4, 32, 32))
+    tiles = tile_table(spark, nominal, size)
+    crops = RE.pair_crops(blocks, tiles, overlap_pairs(tiles), search)
+    found = {cell: RE.pair_shifts(crops, search, "ncc", cell=cell).collect() for cell in ((64, 128, 128), (3, 16, 20))}
+    assert found[64, 128, 128] == found[3, 16, 20] and len(found[3, 16, 20]) == 1
+    r = found[3, 16, 20][0]
+    assert (r.dz, r.dy, r.dx) == (-1, 1, 2)
+    # the same by the whole arrays
+    va, vb = a[:9, 31:, 2:].astype(float), b[1:, :29, :58].astype(float)
+    assert r.n_px == va.size and r.ncc == pytest.approx(np.corrcoef(va.reshape(-1), vb.reshape(-1))[0, 1], abs=1e-12)
+    phase = RE.pair_shifts(crops, search, "phase", cell=(5, 30, 30)).collect()[0]
+    assert (phase.dz, phase.dy, phase.dx, phase.n_px) == (-1, 1, 2, r.n_px) and phase.ncc == pytest.approx(r.ncc)
+    # a range in which no shift brings enough samples together
+    none = RE.pair_shifts(crops, search, "ncc", min_overlap=10**6).collect()[0]
+    assert (none.valid, none.ncc, none.n_px) == (False, -2.0, 0)
+
+
+def test_windows_are_bounded_and_payload_moves_as_crops(spark, world):
+    size, search, cell = (8, 100, 40), (1, 2, 2), (4, 25, 25)
+    blocks = convert_to_blocks(tile_rows(spark, world, [(0, 0, 0), (0, 10, 20)], size), (8, 50, 40))
+    tiles = tile_table(spark, [(0, 0, 0), (0, 10, 20)], size)
+    crops = RE.pair_crops(blocks, tiles, overlap_pairs(tiles), search)
+    plan = crops._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan.split("MapInArrow")[1] and "SortMergeJoin" not in plan.split("Scan")[0].split("BroadcastExchange")[0]
+    rows = RE.window_pairs(crops, search, cell).collect()
+    assert len(rows) > 8
+    for r in rows:
+        assert len(r.data) <= 2 * 4 * 25 * 25 and len(r.b_data) <= 2 * 6 * 29 * 29
+    # samples in floating point, as blurred blocks are
+    smooth = gaussian_blur(blocks, tile_sizes(blocks), (8, 50, 40), 1.0, ["acq_id", "tile_index", "channel"], (1, 2))
+    blurred = RE.pair_crops(smooth, tiles, overlap_pairs(tiles), search, dtype="<f8")
+    r = RE.pair_shifts(blurred, search, "phase", dtype="<f8", cell=cell).collect()[0]
+    assert (r.dz, r.dy, r.dx) == (0, 0, 0) and 0.9 < r.ncc <= 1
+    flat = spark.createDataFrame([box(np.full(size, 7), tile=t) for t in (0, 1)], BOX)
+    assert RE.pair_shifts(RE.pair_crops(flat, tiles, overlap_pairs(tiles), search), search, "ncc").first().ncc == -1
+
 
 def grid_links(spark, n_rows, n_cols, noise=0.0):
     rng = np.random.default_rng(11)

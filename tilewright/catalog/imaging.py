@@ -14,7 +14,7 @@ from tilewright.operators.boxes import to_scanlines
 from tilewright.operators.fuse import fuse
 from tilewright.operators.overlap import overlap_pairs
 from tilewright.operators.pyramid import level_factors, level_means, pyramid
-from tilewright.operators.register import pair_crops, pair_shifts, to_links, top_per_pair
+from tilewright.operators.register import pair_crops, pair_shifts, phase_peaks, to_links, top_per_pair, window_pairs
 from tilewright.operators.solve import components, solve_positions, solve_with_pruning
 from tilewright.session import cut_lineage
 
@@ -237,9 +237,9 @@ def _inputs(spark: SparkSession, sf_dir: str):
     return tiles, cut_lineage(V.tile_blocks(spark, sf_dir)), overlap_pairs(tiles, min_overlap=MIN_OVERLAP)
 
 
-def _shifts(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+def _shifts(spark: SparkSession, sf_dir: str, method: str, cell=(1, 128, 128)) -> DataFrame:
     tiles, blocks, pairs = _inputs(spark, sf_dir)
-    found = pair_shifts(pair_crops(blocks, tiles, pairs, SEARCH), SEARCH, method, min_overlap=64)
+    found = pair_shifts(pair_crops(blocks, tiles, pairs, SEARCH), SEARCH, method, min_overlap=64, cell=cell)
     return found.select("i", "j", "dy", "dx", F.round("ncc", 6).alias("ncc"), "valid")
 
 
@@ -251,6 +251,18 @@ def pair_shifts_ncc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shifts(spark, sf_dir, "ncc")
 
 
+def pair_shifts_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same shifts from sums over windows of 8 x 8 samples."""
+    return _shifts(spark, sf_dir, "ncc", (1, 8, 8))
+
+
+def pair_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest peak of each pair's phase correlation, ranked by a window over the summed surfaces."""
+    tiles, blocks, pairs = _inputs(spark, sf_dir)
+    windows = window_pairs(pair_crops(blocks, tiles, pairs, SEARCH), SEARCH)
+    return phase_peaks(windows, SEARCH, 1).select("i", "j", "dy", "dx", "rank")
+
+
 _NEIGHBOURS = f"""o as ({_OVERLAP.format(p=0)}),
 near as (select i, j from o where (hi_y - lo_y) * (hi_x - lo_x) >= 128)"""
 PAIR_SHIFTS = f"""with {V.TILES}, {_NEIGHBOURS}
@@ -259,6 +271,9 @@ select i, j, (b.true_y - b.pos_y) - (a.true_y - a.pos_y) as dy, (b.true_x - b.po
 from near join tile a on a.tile_index = i join tile b on b.tile_index = j"""
 
 
+PAIR_PEAKS = f"""with s as ({PAIR_SHIFTS}) select i, j, dy, dx, 1::integer as rank from s"""
+
+
 def planted_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and column neighbours with their true displacement, without touching pixels."""
     t = V.tiles(spark, sf_dir)
@@ -486,6 +501,8 @@ QUERIES = {
     "top_overlaps": (top_overlaps, TOP_OVERLAPS),
     "pair_shifts_phase": (pair_shifts_phase, PAIR_SHIFTS),
     "pair_shifts_ncc": (pair_shifts_ncc, PAIR_SHIFTS),
+    "pair_shifts_windows": (pair_shifts_windows, PAIR_SHIFTS),
+    "pair_peaks": (pair_peaks, PAIR_PEAKS),
     "tile_components": (tile_components, TILE_COMPONENTS),
     "solved_positions": (solved_positions, SOLVED_POSITIONS),
     "pruned_links": (pruned_links, PRUNED_LINKS),

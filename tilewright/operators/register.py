@@ -1,17 +1,41 @@
-"""Pairwise shifts between overlapping tiles."""
+"""Pairwise shifts between overlapping tiles, matched window by window.
+
+The overlap of a pair is cut along a fixed grid into windows.  A window's samples of one tile meet those
+of the other tile around it, as far as the search radius reaches, in one group of bounded size.  Windows
+give sums: the correlation surface inside the search range, and for a shift the moments of the samples that it
+brings together.  Sums of all windows of a pair are what the whole overlap would give, so the normalised
+cross-correlation of a shift is exact, however large the overlap.
+"""
 
 from __future__ import annotations
 
 import itertools
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import crop_boxes, paste, reduce_boxes
+from tilewright.operators.boxes import (
+    BOX_FIELDS,
+    CELL,
+    broadcast_if_bounded,
+    crop_boxes,
+    fields_of,
+    map_boxes,
+    paste,
+    pixels,
+    reduce_boxes,
+    split_to_grid,
+    to_bytes,
+)
+from tilewright.session import cut_lineage
 
 AXES = ("z", "y", "x")
+PAIR = ["acq_id", "i", "j"]
+SHIFT = [f"d{a}" for a in AXES]
+#: Windows (z, y, x) in which overlaps are matched.
+WINDOW = (64, 128, 128)
 
 
 def pair_crops(
@@ -25,7 +49,8 @@ def pair_crops(
     """Both tiles' samples around each pair's overlap, in nominal global coordinates.
 
     The overlap is grown by the search radius (inside each tile) so that a shifted match
-    still finds its partner.  One equi-join on (acquisition, tile) with a box filter.
+    still finds its partner.  One equi-join on (acquisition, tile) with a box filter; places are
+    broadcast while their counted size allows, so blocks move only as crops.
     """
     wanted = []
     for side, tile in (("i", "i"), ("j", "j")):
@@ -46,7 +71,7 @@ def pair_crops(
     )
     if channel is not None:
         blocks = blocks.where(F.col("channel") == channel)
-    hit = blocks.join(placed, ["acq_id", "tile_index"])
+    hit = blocks.join(broadcast_if_bounded(cut_lineage(placed), row_bytes=192), ["acq_id", "tile_index"])
     for a in AXES:
         hit = hit.where(
             (F.col(f"{a}0") < F.col(f"hi_{a}")) & (F.col(f"{a}0") + F.col(f"n{a}") > F.col(f"lo_{a}"))
@@ -57,6 +82,36 @@ def pair_crops(
     return crops.drop("pos_z", "pos_y", "pos_x")
 
 
+def window_pairs(crops: DataFrame, search: tuple[int, int, int], cell: tuple[int, int, int] = WINDOW, dtype: str = "<u2") -> DataFrame:
+    """One row per pair and window: the samples of tile i in it, and those of tile j within the search radius of it.
+
+    Columns are ``acq_id, i, j``, the window, the box of i, and the box of j with a ``b_`` before its names.
+    """
+    keep = [*PAIR, "side"]
+    near = [
+        split_to_grid(crops.where(F.col("side") == side), cell, keep, halo, dtype)
+        for side, halo in (("i", (0, 0, 0)), ("j", search))
+    ]
+    fields = [*fields_of(crops, PAIR), *[T.StructField(c, T.LongType()) for c in CELL], *BOX_FIELDS]
+    schema = T.StructType([*fields, *[T.StructField(f"b_{f.name}", f.dataType) for f in BOX_FIELDS]])
+
+    def meet(key, rows):
+        rows = list(rows)
+        sides = [[r for r in rows if r.side == side] for side in ("i", "j")]
+        if all(sides):
+            boxes = [paste(side, dtype) for side in sides]
+            yield (*key, *itertools.chain(*[(*origin, *block.shape, to_bytes(block, dtype)) for block, origin in boxes]))
+
+    # Both sides of a window travel in one shuffle, told apart by `side`.
+    return reduce_boxes(near[0].unionByName(near[1]), [*PAIR, *CELL], meet, schema)
+
+
+def _sides(row, dtype: str) -> tuple:
+    a = pixels(row.data, row.nz, row.ny, row.nx, dtype)
+    b = pixels(row.b_data, row.b_nz, row.b_ny, row.b_nx, dtype)
+    return a, b, (row.z0, row.y0, row.x0), (row.b_z0, row.b_y0, row.b_x0)
+
+
 def _shared(a, b, oa, ob, shift):
     """The parts of ``a`` and of ``b`` moved by ``shift`` that cover the same voxels."""
     lo = [max(p, q + s) for p, q, s in zip(oa, ob, shift)]
@@ -68,31 +123,12 @@ def _shared(a, b, oa, ob, shift):
     return va, vb
 
 
-def ncc(a: np.ndarray, b: np.ndarray) -> float:
-    """Normalised cross-correlation; constant input has no correlation and counts as -1."""
-    fa, fb = a - a.mean(), b - b.mean()
-    norm = float(np.sqrt((fa * fa).sum() * (fb * fb).sum()))
-    return float((fa * fb).sum()) / norm if norm > 0 else -1.0
+def _search_range(search) -> list[tuple[int, ...]]:
+    return list(itertools.product(*[range(-s, s + 1) for s in search]))
 
 
-def _best(a, b, oa, ob, shifts, min_overlap):
-    best = (-2.0, (0, 0, 0), 0)
-    for shift in sorted(shifts, key=lambda s: (sum(v * v for v in s), s)):
-        va, vb = _shared(a, b, oa, ob, shift)
-        if va is None or va.size < min_overlap:
-            continue
-        score = ncc(va, vb)
-        if score > best[0] + 1e-12:
-            best = (score, tuple(int(v) for v in shift), int(va.size))
-    return best
-
-
-def _window(search):
-    return itertools.product(*[range(-s, s + 1) for s in search])
-
-
-def _phase_peaks(a, b, oa, ob, search, top):
-    """Shifts at the highest peaks of the normalised cross-power spectrum."""
+def _phase_surface(a, b, oa, ob, search) -> np.ndarray:
+    """Phase correlation at the shifts of the search range, times the window's samples."""
     span = [n + m for n, m in zip(a.shape, b.shape)]
     size = [1 << (s - 1).bit_length() if s > 2 else s for s in span]
     fa = np.fft.rfftn(a - a.mean(), s=size, axes=(0, 1, 2))
@@ -100,14 +136,72 @@ def _phase_peaks(a, b, oa, ob, search, top):
     power = fa * np.conj(fb)
     surface = np.fft.irfftn(power / np.maximum(np.abs(power), 1e-12), s=size, axes=(0, 1, 2))
     # A peak at p means: sample q of b lies at sample q + p of a (cyclic in each axis).
-    # Within the search window each shift owns one cyclic position, so rank those.
-    grids = []
-    for p, q, s, n in zip(oa, ob, search, size):
-        shift = np.arange(-s, s + 1)
-        grids.append((shift + q - p) % n)
-    scores = surface[np.ix_(*grids)]
-    order = np.argsort(-scores, axis=None, kind="stable")[:top]
-    return [tuple(int(k) - s for k, s in zip(np.unravel_index(o, scores.shape), search)) for o in order]
+    grids = [(np.arange(-s, s + 1) + q - p) % n for p, q, s, n in zip(oa, ob, search, size)]
+    return surface[np.ix_(*grids)] * a.size
+
+
+def phase_peaks(windows: DataFrame, search: tuple[int, int, int], top: int, dtype: str = "<u2") -> DataFrame:
+    """``acq_id, i, j, dz, dy, dx, score, rank``: the highest places of the windows' surfaces, added up per pair."""
+    schema = T.StructType([*fields_of(windows, PAIR), T.StructField("surface", T.ArrayType(T.DoubleType()))])
+
+    def surface(row):
+        a, b, oa, ob = _sides(row, dtype)
+        yield (row.acq_id, row.i, row.j, _phase_surface(a.astype("float64"), b.astype("float64"), oa, ob, search).reshape(-1).tolist())
+
+    summed = (
+        map_boxes(windows, surface, schema)
+        .select(*PAIR, F.posexplode("surface").alias("at", "score"))
+        .groupBy(*PAIR, "at")
+        .agg(F.sum("score").alias("score"))
+    )
+    # windows are added in any order: equal places must not differ by their last digits
+    at, placed = F.col("at"), [*PAIR]
+    wide = [2 * s + 1 for s in search]
+    for axis, s in enumerate(search):
+        below = int(np.prod(wide[axis + 1 :]))
+        placed.append((F.floor(at / below) % wide[axis] - s).cast("long").alias(SHIFT[axis]))
+    return top_per_pair(summed.select(*placed, F.round("score", 9).alias("score")), PAIR, "score", top)
+
+
+def shift_moments(windows: DataFrame, shifts: DataFrame | None, search: tuple[int, int, int], dtype: str = "<u2") -> DataFrame:
+    """``acq_id, i, j, dz, dy, dx, n, a, b, aa, bb, ab``: sums of the samples that each shift brings together.
+
+    ``shifts``: the shifts to try of each pair; None: all of the search range.  Integer samples give exact sums.
+    """
+    value = T.DoubleType() if dtype == "<f8" else T.LongType()
+    number = "float64" if dtype == "<f8" else "int64"
+    sums = ["a", "b", "aa", "bb", "ab"]
+    schema = T.StructType(
+        [
+            *fields_of(windows, PAIR),
+            *[T.StructField(c, T.LongType()) for c in (*SHIFT, "n")],
+            *[T.StructField(c, value) for c in sums],
+        ]
+    )
+    every = _search_range(search) if shifts is None else None
+    if shifts is not None:
+        listed = cut_lineage(shifts.groupBy(*PAIR).agg(F.collect_list(F.struct(*SHIFT)).alias("shifts")))
+        windows = windows.join(broadcast_if_bounded(listed, row_bytes=64 + 32 * 16), PAIR)
+
+    def moments(row):
+        a, b, oa, ob = _sides(row, dtype)
+        a, b = a.astype(number), b.astype(number)
+        for shift in every or [tuple(s[c] for c in SHIFT) for s in row.shifts]:
+            va, vb = _shared(a, b, oa, ob, shift)
+            if va is not None:
+                found = (va.sum(), vb.sum(), (va * va).sum(), (vb * vb).sum(), (va * vb).sum())
+                yield (row.acq_id, row.i, row.j, *shift, va.size, *[v.item() for v in found])
+
+    return map_boxes(windows, moments, schema).groupBy(*PAIR, *SHIFT).agg(*[F.sum(c).alias(c) for c in ("n", *sums)])
+
+
+def correlation(exact: bool):
+    """Normalised cross-correlation of summed moments; constant input has no correlation and counts as -1."""
+    # integers of 38 digits: the difference of two large products loses nothing
+    term = lambda c: F.col(c).cast("decimal(19,0)") if exact else F.col(c)
+    spread = lambda p, q, pq: (term("n") * term(pq) - term(p) * term(q)).cast("double")
+    norm = F.sqrt(spread("a", "a", "aa")) * F.sqrt(spread("b", "b", "bb"))
+    return F.when(norm > 0, spread("a", "b", "ab") / norm).otherwise(F.lit(-1.0))
 
 
 def pair_shifts(
@@ -118,40 +212,35 @@ def pair_shifts(
     min_overlap: int = 64,
     top_peaks: int = 5,
     dtype: str = "<u2",
+    cell: tuple[int, int, int] = WINDOW,
 ) -> DataFrame:
     """The shift of tile j against its nominal place relative to tile i.
 
-    ``phase``: peaks of the phase correlation inside the search window, each tested by NCC
-    on the true overlap.  ``ncc``: every integer shift of the window, exact.
+    ``phase``: the peaks of the phase correlation inside the search range, each tested by the NCC
+    of the true overlap.  ``ncc``: every integer shift of the range.  Of equal ones, the shortest shift
+    is taken.  A pair none of whose shifts brings ``min_overlap`` samples together is invalid, with ncc -2.
     ``pos_j - pos_i = nominal + (dz, dy, dx)``.
     """
     if method not in ("phase", "ncc"):
         raise ValueError(f"unknown matching method {method!r}")
-    schema = T.StructType(
-        [
-            *[crops.schema[c] for c in ("acq_id", "i", "j")],
-            *[T.StructField(f"d{a}", T.LongType()) for a in AXES],
-            T.StructField("ncc", T.DoubleType()),
-            T.StructField("n_px", T.LongType()),
-            T.StructField("valid", T.BooleanType()),
-        ]
+    # Windows hold the payload: they are written once, later steps read them in place.
+    windows = cut_lineage(window_pairs(crops, search, cell, dtype))
+    peaks = phase_peaks(windows, search, top_peaks, dtype) if method == "phase" else None
+    tried = shift_moments(windows, peaks, search, dtype).where(F.col("n") >= min_overlap)
+    score = correlation(exact=dtype != "<f8")
+    length = F.col("dz") * F.col("dz") + F.col("dy") * F.col("dy") + F.col("dx") * F.col("dx")
+    order = F.struct((-F.round("ncc", 12)).alias("order"), length.alias("length"), *SHIFT, "ncc", "n")
+    best = tried.withColumn("ncc", score).groupBy(*PAIR).agg(F.min(order).alias("best"))
+    pairs = windows.select(*PAIR).distinct().join(best, PAIR, "left")
+    ncc = F.coalesce("best.ncc", F.lit(-2.0))
+    return pairs.select(
+        *PAIR,
+        *[F.coalesce(f"best.{c}", F.lit(0).cast("long")).alias(c) for c in SHIFT],
+        ncc.alias("ncc"),
+        F.coalesce("best.n", F.lit(0).cast("long")).alias("n_px"),
+        (ncc >= threshold).alias("valid"),
     )
 
-    def match(key, rows):
-        rows = list(rows)
-        left, right = [r for r in rows if r.side == "i"], [r for r in rows if r.side == "j"]
-        if not left or not right:
-            return
-        a, oa = paste(left, dtype)
-        b, ob = paste(right, dtype)
-        a, b = a.astype("float64"), b.astype("float64")
-        shifts = _window(search) if method == "ncc" else _phase_peaks(a, b, oa, ob, search, top_peaks)
-        score, shift, n = _best(a, b, oa, ob, shifts, min_overlap)
-        yield (*key, *shift, score, n, score >= threshold)
-
-    # Both sides of a pair travel in one shuffle, told apart by `side`.
-    return reduce_boxes(crops, ["acq_id", "i", "j"], match, schema)
-
 
 def to_links(tiles: DataFrame, shifts: DataFrame, acquisition_keys=("acq_id",)) -> DataFrame:
     """Valid matches as displacement constraints ``pos_j - pos_i = d`` weighted by NCC."""
@@ -168,8 +257,6 @@ def to_links(tiles: DataFrame, shifts: DataFrame, acquisition_keys=("acq_id",))
 
 def top_per_pair(scores: DataFrame, pair: list[str], score: str, k: int) -> DataFrame:
     """The ``k`` best candidates of each pair, ties broken by the remaining columns."""
-    from pyspark.sql import Window
-
     rest = [c for c in scores.columns if c not in (*pair, score)]
     rank = F.row_number().over(Window.partitionBy(*pair).orderBy(F.desc(score), *rest))
     return scores.withColumn("rank", rank).where(F.col("rank") <= k)
