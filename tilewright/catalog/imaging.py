@@ -484,7 +484,68 @@ select level, y // 32 as cy, x // 32 as cx, y, string_agg(cast(cast(s as bigint)
 from levels group by level, y, x // 32"""
 
 
+# --- the whole plan ----------------------------------------------------------------------
+
+MOSAIC = {
+    "stitching_block_size": "16,16,2",
+    "final_block_size_xy": 32,
+    "stitching_blur_sigma": 0,
+    "search_radius": "4,4,0",
+    "min_overlap": 160,
+    "fill": False,
+}
+
+
+def _reconstructed(spark: SparkSession, sf_dir: str, **options):
+    from tilewright.plans.reconstruct import reconstruct
+    from tilewright.session import staging_path
+
+    planes, stage = cut_lineage(V.mosaic_planes(spark, sf_dir)), V.mosaic_stage(spark, sf_dir)
+    return reconstruct(spark, planes, stage, staging_path(spark, "reconstruct"), **{**MOSAIC, **options})
+
+
+def reconstruct_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planes and stage coordinates to all levels of the export, for two acquisitions of different extent."""
+    run = _reconstructed(spark, sf_dir)
+    return _lines(run.table("export"), ["acq_id", "channel", "level"])
+
+
+_MOSAIC_TILES = V.TILES + """,
+acq as (select unnest(['first', 'second']) as acq_id),
+part as (select acq_id, tile.* from tile cross join acq where acq_id = 'first' or r * 2 <= (select max(r) from tile)),
+low as (select acq_id, min(true_y) as ly, min(true_x) as lx, max(true_y) + 32 - min(true_y) as h, max(true_x) + 32 - min(true_x) as w from part group by acq_id)"""
+RECONSTRUCT_EXPORT = f"""with {V.SCENE}, {_MOSAIC_TILES},
+covered as (select distinct acq_id, s.y, s.x, s.v from part t join scene s on s.y between t.true_y and t.true_y + 31 and s.x between t.true_x and t.true_x + 31),
+grid as (select acq_id, gy, gx from low, unnest(range(0, h)) a(gy), unnest(range(0, w)) b(gx)),
+base as (select g.acq_id, channel, z, gy, gx,
+    coalesce(v * (1 + channel) + 7 * z + case when g.acq_id = 'second' then 100 else 0 end, 0) as v
+  from grid g join low using (acq_id) cross join (select unnest([0, 1]) as channel) cross join (select unnest([0, 1]) as z)
+  left join covered c on c.acq_id = g.acq_id and c.y = g.gy + ly and c.x = g.gx + lx),
+deep as (select acq_id, min(n) as n from low, (select unnest(range(0, 40)) as n) where greatest(h, w) <= 32 * 2 ** n group by acq_id),
+level as (select acq_id, l from deep, (select unnest(range(0, 41)) as l) where l <= n),
+out as (
+  select acq_id, channel, l as level, z // (case when l >= 2 then 2 else 1 end) as z, gy // cast(2 ** l as bigint) as y, gx // cast(2 ** l as bigint) as x,
+    (2 * sum(v) + count(*)) // (2 * count(*)) as v
+  from base join level using (acq_id) group by all)
+select acq_id, channel, level, z, y, (x // 32) * 32 as x0, string_agg(cast(cast(v as bigint) as varchar), ',' order by x) as line
+from out group by acq_id, channel, level, z, y, x // 32"""
+
+
+def reconstruct_flatfield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan with its optional stage: rows that each stage traced per acquisition."""
+    run = _reconstructed(spark, sf_dir, flatfield_correction=True, stitching_channel="c1")
+    return run.trace().where("stage in ('blocks', 'tiles', 'field', 'corrected', 'matching', 'positions')").select("stage", "acq_id", "rows", "status")
+
+
+RECONSTRUCT_FLATFIELD = f"""with {_MOSAIC_TILES},
+n as (select acq_id, count(*) as tiles from part group by acq_id)
+select stage, acq_id, cast(case stage when 'field' then 8 when 'matching' then 4 * tiles when 'blocks' then 8 * tiles when 'corrected' then 8 * tiles else tiles end as bigint) as rows,
+  'ok' as status from n cross join (select unnest(['blocks', 'tiles', 'field', 'corrected', 'matching', 'positions']) as stage)"""
+
+
 QUERIES = {
+    "reconstruct_export": (reconstruct_export, RECONSTRUCT_EXPORT),
+    "reconstruct_flatfield": (reconstruct_flatfield, RECONSTRUCT_FLATFIELD),
     "stage_to_pixel": (stage_to_pixel, STAGE_TO_PIXEL),
     "channel_filter": (channel_filter, CHANNEL_FILTER),
     "axis_words": (axis_words, AXIS_WORDS),

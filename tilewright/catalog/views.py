@@ -123,6 +123,39 @@ def tile_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_to_blocks(local.drop("true_y", "true_x"), TILE_BLOCK).drop("cz", "cy", "cx")
 
 
+def mosaic_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles in two acquisitions, two channels and two planes, each with samples of its own.
+
+    The second acquisition has only the upper half of the tile rows, so extents and levels differ.
+    """
+    spread = tile_blocks(spark, sf_dir).drop("acq_id", "channel", "z0")
+    top = tiles(spark, sf_dir).agg(F.max("r").alias("top")).scalar()
+    rows = (
+        spread.withColumn("acq_id", F.explode(F.array(F.lit("first"), F.lit("second"))))
+        .withColumn("channel", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("z0", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))))
+        .where((F.col("acq_id") == "first") | (F.floor(F.col("tile_index") / 6) * 2 <= top))
+    )
+    schema = T.StructType([*[rows.schema[c] for c in TILE], *BOX_FIELDS])
+
+    def turned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            data = [
+                to_bytes(np.frombuffer(d, "<u2").astype("int64") * (1 + c) + 7 * z + 100 * (a == "second"))
+                for d, c, z, a in zip(batch["data"], batch["channel"], batch["z0"], batch["acq_id"])
+            ]
+            yield batch.assign(data=data)[schema.fieldNames()]
+
+    return rows.mapInPandas(turned, schema)
+
+
+def mosaic_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage coordinates of those tiles at their nominal places, for the default resolution and axes."""
+    placed = mosaic_planes(spark, sf_dir).select("acq_id", "tile_index").distinct().join(tiles(spark, sf_dir).drop("acq_id"), "tile_index")
+    at = [-F.col("pos_x") * 0.23, F.col("pos_y") * 0.23, F.col("pos_z") * 0.42]
+    return placed.select("acq_id", "tile_index", F.array(*[c.cast("double") for c in at]).alias("stage"))
+
+
 def true_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles(spark, sf_dir).select(
         "acq_id", "tile_index", "pos_z", F.col("true_y").alias("pos_y"), F.col("true_x").alias("pos_x")

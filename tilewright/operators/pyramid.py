@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import BOX_FIELDS, CELL, CELL_FIELDS, ORIGIN, SHAPE, fields_of, map_boxes, merge_cells, pixels, to_bytes
+from tilewright.operators.boxes import BOX_FIELDS, CELL, CELL_FIELDS, ORIGIN, SHAPE, broadcast_if_bounded, fields_of, map_boxes, merge_cells, pixels, to_bytes
 from tilewright.session import cut_lineage
 
 KEYS = ["acq_id", "channel"]
@@ -39,8 +39,28 @@ def level_factors(
     return factors
 
 
-def _reduce_blocks(boxes: DataFrame, step: tuple[int, int, int], cell: tuple[int, int, int], dtype: str) -> DataFrame:
-    """Sum ``step``-sized groups of samples inside each block, before any shuffle.
+STEP = ["fz", "fy", "fx"]
+
+
+def acquisition_factors(extents: DataFrame, resolution: tuple[float, float, float], block: tuple[int, int, int]) -> DataFrame:
+    """``acq_id, level, fz, fy, fx, sz, sy, sx``: every acquisition's own levels.
+
+    ``f*`` is the factor against the level before, ``s*`` against level 0; an acquisition that fits one block has no row.
+    """
+    longs = [T.StructField(c, T.LongType()) for c in ("level", *STEP, "sz", "sy", "sx")]
+    schema = T.StructType([*fields_of(extents, ["acq_id"]), *longs])
+
+    def plan(row):
+        total = (1, 1, 1)
+        for number, step in enumerate(level_factors((row.ext_z, row.ext_y, row.ext_x), resolution, block), start=1):
+            total = tuple(t * s for t, s in zip(total, step))
+            yield (row.acq_id, number, *step, *total)
+
+    return map_boxes(extents.select("acq_id", "ext_z", "ext_y", "ext_x"), plan, schema)
+
+
+def _reduce_blocks(boxes: DataFrame, cell: tuple[int, int, int], dtype: str) -> DataFrame:
+    """Sum groups of ``fz, fy, fx`` samples (columns) inside each block, before any shuffle.
 
     Groups lie on the grid of the whole volume: where a block begins or ends inside a group, it
     gives a part of its sum.  What a block gives is cut along the cells of the level.
@@ -50,7 +70,7 @@ def _reduce_blocks(boxes: DataFrame, step: tuple[int, int, int], cell: tuple[int
     def shrink(row):
         block = pixels(row.data, row.nz, row.ny, row.nx, dtype).astype("int64")
         lo = []
-        for axis, (name, f) in enumerate(zip(ORIGIN, step)):
+        for axis, (name, f) in enumerate(zip(ORIGIN, (row.fz, row.fy, row.fx))):
             lo.append(getattr(row, name) // f)
             if f > 1:
                 at = np.arange(block.shape[axis])
@@ -62,55 +82,85 @@ def _reduce_blocks(boxes: DataFrame, step: tuple[int, int, int], cell: tuple[int
             piece = block[tuple(slice(a - o, b - o) for (_, a, b), o in zip(where, lo))]
             yield (row.acq_id, row.channel, *[k for k, _, _ in where], *[a for _, a, _ in where], *piece.shape, to_bytes(piece, "<i8"))
 
-    return map_boxes(boxes.select(*KEYS, *ORIGIN, *SHAPE, "data"), shrink, schema)
+    return map_boxes(boxes.select(*KEYS, *ORIGIN, *SHAPE, "data", *STEP), shrink, schema)
+
+
+def _factor_rows(base: DataFrame, factors: list[tuple[int, int, int]]) -> DataFrame:
+    """The same levels for every acquisition."""
+    rows, total = [], (1, 1, 1)
+    for number, step in enumerate(factors, start=1):
+        total = tuple(t * s for t, s in zip(total, step))
+        rows.append((number, *step, *total))
+    names = ["level", *STEP, "sz", "sy", "sx"]
+    levels = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip(names, row)]) for row in rows])
+    return base.select("acq_id").distinct().select("acq_id", F.inline(levels))
 
 
 def pyramid(
     base: DataFrame,
-    factors: list[tuple[int, int, int]],
+    factors: list[tuple[int, int, int]] | DataFrame,
     cell: tuple[int, int, int],
 ) -> DataFrame:
-    """All levels: ``acq_id, channel, level, cell, box`` with int64 sample sums.
+    """All levels above 0: ``acq_id, channel, level, cell, box`` with int64 sample sums.
 
-    Level L+1 sums the sums of level L, so no rounding adds up; divide by ``cell_counts``
-    for means.  Blocks shrink where they are, wherever they begin; only the smaller sums are shuffled.
+    ``factors``: a list for all acquisitions, or a row per acquisition and level (``acquisition_factors``);
+    an acquisition takes part until its own last level.  Level L+1 sums the sums of level L, so no
+    rounding adds up; ``level_means`` divides.  Blocks shrink where they are, wherever they
+    begin; only the smaller sums are shuffled.
     """
+    if isinstance(factors, list):
+        if not factors:
+            raise ValueError("the volume already fits one block")
+        factors = _factor_rows(base, factors)
+    factors = cut_lineage(factors)
     levels = []
     current, dtype = base, "<u2"
-    for number, step in enumerate(factors, start=1):
-        shrunk = _reduce_blocks(current, step, cell, dtype)
+    for number in range(1, (factors.agg(F.max("level")).first()[0] or 0) + 1):
+        step = broadcast_if_bounded(factors.where(F.col("level") == number).select("acq_id", *STEP), row_bytes=64)
+        shrunk = _reduce_blocks(current.join(step, "acq_id"), cell, dtype)
         current, dtype = cut_lineage(merge_cells(shrunk, KEYS, "<i8", add=True)), "<i8"
         levels.append(current.withColumn("level", F.lit(number)))
     if not levels:
-        raise ValueError("the volume already fits one block")
+        raise ValueError("every volume already fits one block")
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
     return out.select(*KEYS, "level", *CELL, *ORIGIN, *SHAPE, "data")
 
 
-def level_means(levels: DataFrame, extents: DataFrame, factors: list[tuple[int, int, int]]) -> DataFrame:
+def export_levels(base: DataFrame, extents: DataFrame, resolution: tuple[float, float, float], cell: tuple[int, int, int]) -> DataFrame:
+    """``acq_id, channel, level, cell, box``: the fused blocks as level 0 and the rounded means of every level above.
+
+    Each acquisition has as many levels as its own extent needs; one that fits a block has level 0 only.
+    """
+    factors = cut_lineage(acquisition_factors(extents, resolution, cell))
+    out = base.select(*KEYS, F.lit(0).alias("level"), *CELL, *ORIGIN, *SHAPE, "data")
+    return out if factors.isEmpty() else out.unionByName(level_means(pyramid(base, factors, cell), extents, factors))
+
+
+def level_means(levels: DataFrame, extents: DataFrame, factors: list[tuple[int, int, int]] | DataFrame) -> DataFrame:
     """Rounded means (uint16 boxes) of pyramid sums; edge cells divide by the samples they hold.
 
-    ``extents``: acq_id with the level-0 size ``ext_z, ext_y, ext_x``.
+    ``extents``: acq_id with the level-0 size ``ext_z, ext_y, ext_x``; ``factors`` as in ``pyramid``.
     """
-    scale, total = {}, (1, 1, 1)
-    for number, step in enumerate(factors, start=1):
-        total = tuple(t * s for t, s in zip(total, step))
-        scale[number] = total
+    if isinstance(factors, list):
+        factors = _factor_rows(extents, factors)
     ext = ["ext_z", "ext_y", "ext_x"]
-    rows = levels.join(extents.select("acq_id", *ext), "acq_id")
+    total = ["sz", "sy", "sx"]
+    sizes = extents.select("acq_id", *ext).join(factors.select("acq_id", F.col("level").cast("int").alias("level"), *total), "acq_id")
+    rows = levels.join(broadcast_if_bounded(cut_lineage(sizes), row_bytes=96), ["acq_id", "level"])
     keep = [*KEYS, "level", *CELL]
     schema = T.StructType([*fields_of(levels, keep), *BOX_FIELDS])
 
     def divide(row):
         sums = pixels(row.data, row.nz, row.ny, row.nx, "<i8")
         held = []
-        for o, n, f, e in zip(ORIGIN, SHAPE, scale[row.level], ext):
+        for o, n, f, e in zip(ORIGIN, SHAPE, total, ext):
+            f = getattr(row, f)
             start = (np.arange(getattr(row, n)) + getattr(row, o)) * f
             held.append(np.minimum(start + f, getattr(row, e)) - start)
         count = held[0][:, None, None] * held[1][None, :, None] * held[2][None, None, :]
         mean = (2 * sums + count) // (2 * count)
         yield (*[getattr(row, c) for c in keep], row.z0, row.y0, row.x0, *mean.shape, to_bytes(mean))
 
-    return map_boxes(rows.select(*keep, *ORIGIN, *SHAPE, "data", *ext), divide, schema)
+    return map_boxes(rows.select(*keep, *ORIGIN, *SHAPE, "data", *ext, *total), divide, schema)
