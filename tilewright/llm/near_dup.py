@@ -224,7 +224,7 @@ def linked_classes(
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     apart = stored(labelled.join(mixed.select("key"), "key", "left_semi").select("class", "component").distinct(), f"{name}-apart")
     # two sets that are similar enough share one of their rarest shingles, in any order that is the same for all
-    sets = sets_of(items)
+    sets = sets_of(items.join(apart.select("class").distinct(), "class", "left_semi"))
     sketch = dense.total(sets.select("shingles").mapInArrow(_sketch, dense.SCHEMA), 1 << SKETCH_LOG)
     rarest = _rarest(keyed.sparkSession.sparkContext.broadcast(dense.Packed(sketch.astype(np.int32))), percent)
     prefixes = stored(sets.mapInArrow(rarest, "key long, class long, n int, i int").join(apart, "class"), f"{name}-prefixes")
@@ -252,18 +252,32 @@ def linked_classes(
     return components(stored(first_links.unionByName(similar(joined_pairs(crossing, few), percent)), f"{name}-links"))
 
 
+def _table_keys(classes: DataFrame) -> DataFrame:
+    """key, class of the table keys that more than one class can have.
+
+    A table key is met twice only if both its halves are, so classes first meet by their
+    ``2 * HALVES`` half keys, and the pairs are formed of those that are left.
+    """
+    halves = classes.select("class", F.posexplode(F.concat("left", "right")).alias("i", "x")).select("x", "class", "i")
+    table = bitfilter.build_twice(halves.select("x"), KEY_LOG_BITS)
+    some = stored(halves.mapInArrow(_met(table), "x long, class long, i int"), "near-halves")
+    twice = some.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x")
+    side = lambda first: F.collect_list(F.when((F.col("i") < HALVES) == F.lit(first), F.struct("i", "x")))
+    left = some.join(twice, "x", "left_semi").groupBy("class").agg(side(True).alias("left"), side(False).alias("right"))
+    pairs = left.select("class", F.explode("left").alias("l"), "right").select("class", "l", F.explode("right").alias("r"))
+    return pairs.select(F.xxhash64("l.i", "l.x", "r.i", "r.x").alias("key"), "class")
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of ``documents`` with an id."""
     docs = stored(signatures(documents), "near-signatures")
-    classes = (
+    classes = stored(
         docs.where("n_shingles > 0")
         .groupBy("d1", "d2", "n_shingles")
-        .agg(F.min("doc_id").alias("class"), F.first("left").alias("left"), F.first("right").alias("right"))
-    )
-    halves = classes.select("class", F.posexplode("left").alias("i", "x"), "right")
-    keyed = halves.select("class", "i", "x", F.posexplode("right").alias("j", "y")).select(
-        F.xxhash64("i", "x", "j", "y").alias("key"), "class"
+        .agg(F.min("doc_id").alias("class"), F.first("left").alias("left"), F.first("right").alias("right")),
+        "near-classes",
     )
+    keyed = stored(_table_keys(classes), "near-keys")
 
     def sets_of_documents(wanted: DataFrame) -> DataFrame:
         texts = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("class"), "text")
