@@ -1,6 +1,7 @@
 """Samplesheets, files, metadata and reports."""
 
 import hashlib
+import os
 import zipfile
 
 import pytest
@@ -122,6 +123,54 @@ def test_ingest_fetches_verifies_and_groups(spark, tmp_path):
         ingest(spark, path, f"file://{images}", "/out")[0].collect()
 
 
+def test_ingest_expands_remote_archives(spark, tmp_path):
+    store, images = tmp_path / "store", tmp_path / "in"
+    store.mkdir()
+    with zipfile.ZipFile(store / "a.zip", "w") as z:
+        z.writestr("a_V00.czi", "first")
+        z.writestr("sub/", "")
+        z.writestr("sub/a.mvl", "")
+    digest = hashlib.md5((store / "a.zip").read_bytes()).hexdigest()
+    sheet = write(tmp_path / "s.csv", f"id,filename,pattern,checksum,uri\nacq,a.zip,,{digest},file://{store / 'a.zip'}\n")
+    ingest(spark, sheet, str(images), "/out")
+    assert (images / "a_V00.czi").read_text() == "first" and (images / "sub" / "a.mvl").read_text() == ""
+    (images / "a_V00.czi").write_text("old")
+    assert ingest(spark, sheet, str(images), "/out")[2].count() == 0
+    assert (images / "a_V00.czi").read_text() == "first"
+    (images / "a.zip").write_bytes(b"changed")
+    with pytest.raises(Exception, match="Checksum failed"):
+        ingest(spark, sheet, str(images), "/out")
+
+
+def test_members_stream_in_parts(spark, tmp_path):
+    body = os.urandom(3 << 20)
+    for name, inside in (("a.ZIP", "big.bin"), ("b.zip", "big.bin"), ("c.zip", "only.bin")):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(inside, body + name.encode())
+    paths = [(f"file://{tmp_path / n}",) for n in ("a.ZIP", "b.zip", "c.zip", "c.zip", "plain.txt")] + [(None,)]
+    members = FI.archive_members(spark.createDataFrame(paths, "path string"))
+    assert ids(members, "member", "size") == [("big.bin", len(body) + 5)] * 2 + [("only.bin", len(body) + 5)]
+    written = FI.expand_beside(members, chunk=1000).collect()
+    assert {r["member"]: r["md5"] for r in written} == {
+        "big.bin": hashlib.md5(body + b"b.zip").hexdigest(), "only.bin": hashlib.md5(body + b"c.zip").hexdigest()
+    }
+    assert (tmp_path / "big.bin").read_bytes() == body + b"b.zip"
+    assert not list(tmp_path.glob("*.part"))
+    empty = FI.archive_members(spark.createDataFrame([], "path string"))
+    assert FI.expand_beside(empty).count() == 0
+
+
+@pytest.mark.parametrize("name", ["../out.txt", "/out.txt", "d/../../out.txt"])
+def test_members_stay_in_their_folder(spark, tmp_path, name):
+    (tmp_path / "in").mkdir()
+    with zipfile.ZipFile(tmp_path / "in" / "x.zip", "w") as z:
+        z.writestr(name, "1")
+    members = FI.archive_members(spark.createDataFrame([(f"file://{tmp_path}/in/x.zip",)], "path string"))
+    with pytest.raises(Exception, match="outside its folder"):
+        FI.expand_beside(members).collect()
+    assert not (tmp_path / "out.txt").exists()
+
+
 def test_inventory_and_unzip(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
         z.writestr("d/one.txt", "1")

@@ -13,7 +13,7 @@ from tilewright.functions import text as X
 from tilewright.operators import manifest as M
 from tilewright.operators.report import nested_lookup
 from tilewright.operators.rules import Rule, missing_paths, order_conformance, rule_violations
-from tilewright.session import staging_path
+from tilewright.session import cut_lineage, staging_path
 from tilewright.sources import files as FI
 from tilewright.sources.samplesheet import read_samplesheet, read_validated, write_samplesheet
 
@@ -213,6 +213,35 @@ UNZIP = """select concat('store/', doc_id // 10, '.zip') as archive, concat(doc_
   octet_length(encode(text)) as size, md5(text) as md5 from documents"""
 
 
+def ingest_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of ten documents each in a folder, listed, expanded beside themselves and digested from the files."""
+    folder = FI.qualified(spark, staging_path(spark, "archives"))
+    docs = V.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit(f"{folder}/"), F.floor(F.col("doc_id") / 10), F.lit(".zip")).alias("path"), "doc_id", "text"
+    )
+
+    def pack(pdf):
+        import pandas as pd
+        from pyarrow import fs
+
+        path = pdf["path"].iloc[0]
+        system, at = fs.FileSystem.from_uri(path)
+        system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(at) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            for doc, body in zip(pdf["doc_id"], pdf["text"]):
+                archive.writestr(f"d/{doc}.txt", body)
+        return pd.DataFrame({"path": [path]})
+
+    written = cut_lineage(docs.groupBy("path").applyInPandas(pack, "path string"))
+    cut_lineage(FI.expand_beside(FI.archive_members(written)))
+    files = FI.file_inventory(spark, folder, glob="*.txt")
+    found = files.join(FI.file_digests(files), "path")
+    return found.select("name", F.col("length").alias("size"), "md5")
+
+
+INGEST_ARCHIVES = "select concat(doc_id, '.txt') as name, octet_length(encode(text)) as size, md5(text) as md5 from documents"
+
+
 def enrich_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acquisitions joined with their run contexts on the work directory; those without one drop out."""
     acqs = acquisitions(spark, sf_dir).select(F.col("session_dir").alias("work_dir"), "acq_id", "n_files")
@@ -361,6 +390,7 @@ QUERIES = {
     "missing_path_rule": (missing_path_rule, MISSING_PATHS),
     "checksum_status": (checksum_status, CHECKSUM),
     "unzip_members": (unzip_members, UNZIP),
+    "ingest_archives": (ingest_archives, INGEST_ARCHIVES),
     "enrich_join": (enrich_join, ENRICH),
     "work_items_cross": (work_items_cross, WORK_ITEMS),
     "complete_acquisitions": (complete_acquisitions, COMPLETE),

@@ -19,10 +19,11 @@ def _local(path):
 def ingest(
     spark: SparkSession, samplesheet: str, image_dir: str, outdir: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Validate, fetch what is missing, verify what has a checksum, group.
+    """Validate, fetch what is missing, verify what has a checksum, expand remote archives, group.
 
     Returns acquisitions, their files and the list of files fetched now.  Existing files
-    are verified, never fetched again.  ``image_dir`` may be a plain path or a URI, and need not
+    are verified, never fetched again.  Members of remote ``.zip`` files lie beside them afterwards, written
+    anew in every run.  ``image_dir`` may be a plain path or a URI, and need not
     exist yet.  Only files of rows with a checksum are read.
     """
     image_dir = FI.qualified(spark, image_dir)
@@ -35,7 +36,9 @@ def ingest(
     now = FI.existing_files(spark, image_dir).withColumn("path", _local("path"))
     checked = sheet.where("route = 'remote'").where(~M.is_blank("checksum")).select("path").distinct()
     digests = cut_lineage(FI.file_digests(now.join(checked, "path", "left_semi")))
-    remote = FI.require_verified(FI.verify_checksums(sheet.where("route = 'remote'"), digests))
+    # Archives expand from the checked rows: a file that does not hold its checksum fails before its members are written.
+    remote = cut_lineage(FI.require_verified(FI.verify_checksums(sheet.where("route = 'remote'"), digests)))
+    cut_lineage(FI.expand_beside(FI.archive_members(remote)))
     rows = remote.select(sheet.columns).unionByName(sheet.where("route = 'local'"))
     files = M.acquisition_files(rows, image_dir)
     return M.acquisitions(files, outdir), files, fetched

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -117,6 +118,85 @@ def require_verified(checked: DataFrame) -> DataFrame:
     return checked.where(F.when(ok, True).otherwise(F.raise_error(F.concat(F.lit("Checksum failed for "), "path")).cast("boolean")))
 
 
+def archive_members(archives: DataFrame) -> DataFrame:
+    """``archive, member, size`` of every file in the ``.zip`` files named by ``path``.
+
+    Tasks seek to each archive's directory at its end; no member is read.  Null and other paths
+    have no members; a member named twice is listed once, with its last size, as the later one overwrites.
+    """
+
+    def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                with _opened(path) as archive:
+                    names = {i.filename: i.file_size for i in archive.infolist() if not i.is_dir()}
+                yield pd.DataFrame({"archive": path, "member": list(names), "size": list(names.values())})
+
+    paths = archives.where(F.lower("path").endswith(".zip")).select("path").distinct()
+    return paths.mapInPandas(listing, MEMBER)
+
+
+def expand_beside(members: DataFrame, chunk: int = 1 << 20) -> DataFrame:
+    """Write the listed members beside their archives: ``archive, member, size, path, md5`` of every file written.
+
+    Members are spread over tasks by archive and name, and stream in chunks, so memory depends neither on an
+    archive's size nor on a member's.  A file is put in place whole, so a retried task is
+    harmless.  A name that would leave the archive's folder fails the job.  When archives of one
+    folder hold the same name, the archive last in order of path is the one that is written.
+    """
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, part in batch.groupby("archive", sort=False):
+                with _opened(path) as archive:
+                    for member, target in zip(part["member"], part["path"]):
+                        info = archive.getinfo(member)
+                        md5 = _copy_member(archive, info, target, chunk)
+                        yield pd.DataFrame(
+                            [(path, member, info.file_size, target, md5)], columns=["archive", "member", "size", "path", "md5"]
+                        )
+
+    outside = F.col("member").rlike(r"(^|[/\\])\.\.([/\\]|$)|^[/\\]")
+    safe = F.when(outside, F.raise_error(F.concat(F.lit("Member outside its folder: "), "archive", F.lit(" "), "member")))
+    target = F.concat(F.regexp_extract("archive", r"^(.*/)", 1), F.coalesce(safe.cast("string"), F.col("member")))
+    last = members.select("archive", "member", target.alias("path")).groupBy("path").agg(
+        F.max(F.struct("archive", "member")).alias("last")
+    )
+    spread = last.select("last.archive", "last.member", "path").repartition("archive", "member")
+    return spread.mapInPandas(expand, f"{MEMBER}, path string, md5 string")
+
+
+MEMBER = "archive string, member string, size bigint"
+
+
+@contextmanager
+def _opened(path: str) -> Iterator[zipfile.ZipFile]:
+    """A zip archive on any file system that Arrow opens, read where it is sought."""
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(path)
+    with system.open_input_file(at) as source, zipfile.ZipFile(source) as archive:
+        yield archive
+
+
+def _copy_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, path: str, chunk: int) -> str:
+    """Stream one member to its place; the digest of what was written."""
+    import hashlib
+    import uuid
+
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(path)
+    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    part, seen = f"{at}.{uuid.uuid4().hex}.part", hashlib.md5()
+    with archive.open(info) as source, system.open_output_stream(part) as out:
+        while data := source.read(chunk):
+            seen.update(data)
+            out.write(data)
+    system.move(part, at)
+    return seen.hexdigest()
+
+
 def unzip_members(files: DataFrame, with_content: bool = True) -> DataFrame:
     """``archive, member, size, content`` of every ``.zip`` among ``path, content`` rows.
 
