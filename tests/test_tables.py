@@ -204,10 +204,15 @@ def test_metadata_files(spark, tmp_path):
     channels = spark.createDataFrame([("a", c, 1, 1, 1, 8, 8, 128) for c in (0, 1)], MD.CHANNEL_SCHEMA)
     MD.write_channel_metadata(channels, str(tmp_path))
     MD.write_positions(tiles.select("acq_id", "tile_index", "pos_z", "pos_y", "pos_x"), channels, str(tmp_path))
-    assert (tmp_path / "c1-n5-final.json").exists()
+    assert (tmp_path / "a" / "c1-n5-final.json").exists()
     # Final results are not read as channel metadata.
     assert MD.read_channel_metadata(spark, str(tmp_path)).count() == 2
     assert ids(MD.read_positions(spark, str(tmp_path)), "channel", "pos_x") == [(0, 2.0), (1, 2.0)]
+    # A channel that is written again is replaced, those of other acquisitions and channels stay; names stay as safe as their folders'.
+    again = spark.createDataFrame([("a", 7, 0.0, 1.0, 9.0), ("b/c", 7, 0.0, 1.0, 5.0)], "acq_id string, tile_index long, pos_z double, pos_y double, pos_x double")
+    MD.write_positions(again, spark.createDataFrame([("a", 1), ("b/c", 4)], "acq_id string, channel int"), str(tmp_path))
+    assert ids(MD.read_positions(spark, str(tmp_path)), "acq_id", "channel", "pos_x") == [("a", 0, 2.0), ("a", 1, 9.0), ("b/c", 4, 5.0)]
+    assert not [p.name for p in tmp_path.iterdir() if p.name.startswith("_staged")]
     log = spark.createDataFrame([("a", 0, 3, 0.5, 1.0)], "acq_id string, iteration int, n_links long, mean_err double, max_err double")
     MD.write_solve_log(log, str(tmp_path / "optimizer-final.txt"))
     assert spark.read.text(str(tmp_path / "optimizer-final.txt")).first()[0] == "a iteration=0 links=3 mean=0.500000 max=1.000000"

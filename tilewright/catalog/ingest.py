@@ -274,19 +274,21 @@ COMPLETE = f"with {V.VALID} select id, pattern, count(distinct filename) as n_me
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts of the documents written as one file per source and language, listed with their digests."""
-    folder = staging_path(spark, "store")
-    docs = V.table(spark, sf_dir, "documents").select("source", "lang", "doc_id", F.col("text").alias("value"))
-    placed = docs.repartition("source", "lang").sortWithinPartitions("source", "lang", "doc_id")
-    placed.drop("doc_id").write.partitionBy("source", "lang").text(folder)
-    found = FI.file_inventory(spark, folder, hash_content=True, glob="*.txt")
-    place = r"/source=([^/]+)/lang=([^/]+)/"
-    return found.select(
-        F.regexp_extract("path", place, 1).alias("source"), F.regexp_extract("path", place, 2).alias("lang"), F.col("length").alias("n_bytes"), "md5"
+    """The texts of the documents in files by source, language and hundred of ids, listed with their digests, which tasks stream."""
+    folder = FI.qualified(spark, staging_path(spark, "store"))
+    docs = V.table(spark, sf_dir, "documents").select(
+        "source", "lang", F.floor(F.col("doc_id") / 100).alias("part"), "doc_id", F.col("text").alias("value")
     )
+    placed = docs.repartition("source", "lang", "part").sortWithinPartitions("source", "lang", "part", "doc_id")
+    placed.drop("doc_id").write.partitionBy("source", "lang", "part").text(folder)
+    files = FI.file_inventory(spark, folder, glob="*.txt")
+    found = files.join(FI.file_digests(files), "path")
+    place = r"/source=([^/]+)/lang=([^/]+)/part=(\d+)/"
+    names = [F.regexp_extract("path", place, k).alias(c) for k, c in ((1, "source"), (2, "lang"))]
+    return found.select(*names, F.regexp_extract("path", place, 3).cast("long").alias("part"), F.col("length").alias("n_bytes"), "md5")
 
 
-INVENTORY = """select source, lang, strlen(string_agg(text, chr(10) order by doc_id)) + 1 as n_bytes,
+INVENTORY = """select source, lang, doc_id // 100 as part, strlen(string_agg(text, chr(10) order by doc_id)) + 1 as n_bytes,
   md5(string_agg(text, chr(10) order by doc_id) || chr(10)) as md5 from documents group by all"""
 
 

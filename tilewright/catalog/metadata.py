@@ -14,12 +14,12 @@ from tilewright.sources.samplesheet import source_path
 
 
 def read_stage_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage positions of every tile, through the XML that a microscope writes."""
+    """Stage positions of every tile, through the XML that a microscope writes, 512 tiles a file."""
     path = staging_path(spark, "stage-xml")
     line = F.format_string(
         '<Data Acquisition="%s" Index="%d" PositionX="%d" PositionY="%d" PositionZ="%d"/>', "acq_id", "tile_index", "pos_x", "pos_y", "pos_z"
     )
-    lines = V.tiles(spark, sf_dir).select((F.col("tile_index") % 4).alias("part"), line.alias("line"))
+    lines = V.tiles(spark, sf_dir).select(F.floor(F.col("tile_index") / 512).alias("part"), line.alias("line"))
     one = F.concat(F.lit("<Stage>"), F.array_join(F.array_sort(F.collect_list("line")), ""), F.lit("</Stage>"))
     lines.groupBy("part").agg(one.alias("value")).write.partitionBy("part").text(path)
     stage = MD.read_stage_metadata(spark, path)

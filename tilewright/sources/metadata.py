@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions import vectors
@@ -14,6 +16,8 @@ TILE_SCHEMA = (
 CHANNEL_SCHEMA = (
     "acq_id string, channel int, n_tiles bigint, n_blocks bigint, size_z bigint, size_y bigint, size_x bigint, n_bytes bigint"
 )
+#: Tiles in one file of positions.
+TILES_PER_FILE = 1 << 18
 POSITION_SCHEMA = "acq_id string, channel int, tile_index bigint, pos_z double, pos_y double, pos_x double"
 
 
@@ -66,30 +70,47 @@ def read_tile_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_channel_metadata(channels: DataFrame, folder: str) -> None:
-    """``c<N>-n5.json`` below ``folder``, one directory per channel."""
-    _write_per_channel(channels, folder, "-n5.json")
+    """``<acquisition>/c<N>-n5.json`` below ``folder``, one directory per acquisition and channel."""
+    _write_by_channel(channels, folder, "-n5.json", F.lit(0))
 
 
 def read_channel_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``c*-n5.json``; final results (``c*-n5-final.json``) do not match."""
-    return spark.read.schema(CHANNEL_SCHEMA).json(f"{folder}/c*-n5.json")
+    return spark.read.schema(CHANNEL_SCHEMA).json(f"{folder}/*/c*-n5.json")
 
 
 def write_positions(positions: DataFrame, channels: DataFrame, folder: str) -> None:
-    """``c<N>-n5-final.json``: the solved positions once per channel."""
+    """``<acquisition>/c<N>-n5-final.json``: the solved positions once per channel."""
     per_channel = channels.select("acq_id", "channel").distinct().join(positions, "acq_id")
     wanted = [c.split()[0] for c in POSITION_SCHEMA.split(", ")]
-    _write_per_channel(per_channel.select(*wanted), folder, "-n5-final.json")
+    _write_by_channel(per_channel.select(*wanted), folder, "-n5-final.json", F.floor(F.col("tile_index") / TILES_PER_FILE))
 
 
 def read_positions(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(POSITION_SCHEMA).json(f"{folder}/c*-n5-final.json")
+    return spark.read.schema(POSITION_SCHEMA).json(f"{folder}/*/c*-n5-final.json")
+
 
+def _write_by_channel(rows: DataFrame, folder: str, suffix: str, file_no: Column) -> None:
+    """One partitioned write for all acquisitions and channels, then a rename for each of them.
 
-def _write_per_channel(rows: DataFrame, folder: str, suffix: str) -> None:
-    """One write per channel name; the channel list is one distinct over metadata rows."""
-    for (channel,) in sorted(rows.select("channel").distinct().collect()):
-        rows.where(F.col("channel") == channel).write.mode("overwrite").json(f"{folder}/c{channel}{suffix}")
+    A channel's rows are spread over files by ``file_no``.  Renames happen after the whole write, so a failed job
+    leaves earlier results as they are; a channel that is written again is replaced.
+    """
+    spark = rows.sparkSession
+    staged = f"{folder}/_staged-{uuid4().hex}"
+    named = rows.withColumns({"of_acq": F.col("acq_id"), "of_channel": F.col("channel")})
+    named.repartition("acq_id", "channel", file_no).write.partitionBy("of_acq", "of_channel").json(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.globStatus(path(f"{staged}/of_acq=*/of_channel=*")):
+        written = status.getPath()
+        acq, channel = (p.getName().split("=", 1)[1] for p in (written.getParent(), written))
+        target = path(path(folder, acq), f"c{channel}{suffix}")
+        system.mkdirs(target.getParent())
+        system.delete(target, True)
+        if not system.rename(written, target):
+            raise OSError(f"can't move {written} to {target}")
+    system.delete(path(staged), True)
 
 
 def write_solve_log(log: DataFrame, path: str) -> None:
