@@ -1,6 +1,8 @@
+import os
 import random
 import textwrap
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 
@@ -10,7 +12,7 @@ pytest.importorskip("tilewright.llm")
 
 import brute  # noqa: E402
 
-from tilewright.llm import bitfilter, license_scan, line_dedup, near_dup  # noqa: E402
+from tilewright.llm import bitfilter, license_scan, line_dedup, near_dup, oracles  # noqa: E402
 
 
 def test_a_changed_character_in_a_short_line(spark):
@@ -68,10 +70,69 @@ def test_table_keys_lose_hardly_a_pair():
     assert n - met.sum() <= 6
 
 
+HEADS = [
+    "Copyright The Kubernetes Authors.",
+    "Copyright The OpenTelemetry Authors",
+    "Copyright (c) 2020 A. Person\nAll rights reserved.",
+    "Portions Copyright 2020 A. Person",
+    "Copyright in 2020 by A. Person",
+    "Copyright (c) 2020 A. Person\n(c) 2021 B. Person\nCopyright C. Person\n",
+    "© A. Person",
+    "",
+]
+
+
 def test_licenses_wrapped_at_any_width(spark):
-    texts = [("MIT", license_scan.MIT), ("ISC", license_scan.ISC_GRANT + license_scan.ISC_NOTICE + license_scan.ISC_WARRANTY)]
-    rows = [(w, "Copyright (c) 2020 A. Person\n(c) 2021 B. Person\nCopyright C. Person\n" + textwrap.fill(t, w), name, "s", 1, "k") for name, t in texts for w in range(30, 120)]
-    rows.append((0, license_scan.ISC_GRANT + license_scan.ISC_NOTICE.replace("above ", "above\n") + license_scan.ISC_WARRANTY, "ISC", "s", 1, "k"))
+    rows = []
+    for name, titles, text in license_scan.WHOLE:
+        for width in range(30, 121, 3):
+            for head in HEADS[width % 4 :: 4]:
+                wrapped = textwrap.fill(text, width, break_long_words=False)
+                rows.append((len(rows), f"{head}\n{wrapped}", name, "s", 1, "k"))
+                rows += [(len(rows), f"{title}\n{head}\n{wrapped}", name, "s", 1, "k") for title in titles[:1]]
+    text = license_scan.ISC_GRANT + license_scan.ISC_NOTICE.replace("above ", "above\n") + license_scan.ISC_WARRANTY
+    rows += [(len(rows), text, "ISC", "s", 1, "k"), (len(rows) + 1, "Copyright A. Person\n" + text, "ISC", "s", 1, "k")]
+    docs = spark.createDataFrame(rows, brute.SCHEMA)
+    got = license_scan.scan_licenses(docs, license_scan.known_licenses(spark)).select("doc_id", "license").collect()
+    assert sorted(map(tuple, got)) == sorted((r[0], r[2]) for r in rows)
+
+
+PUBLISHED = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3",
+    "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+FOLDER = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no published texts on this machine")
+def test_long_licenses_wrapped(spark):
+    rows = []
+    for file, name in PUBLISHED.items():
+        with open(os.path.join(FOLDER, file), encoding="utf-8") as f:
+            text = f.read()
+        head = HEADS[len(rows) % len(HEADS)]
+        rows += [(len(rows), text, name, "s", 1, "k"), (len(rows) + 1, f"{head}\n\n{text}", name, "s", 1, "k")]
+        for width in range(30, 121, 15):
+            wrapped = textwrap.fill(text, width, break_long_words=False)
+            rows.append((len(rows), wrapped, name, "s", 1, "k"))
+            # one that begins with its own statement, over several lines, is not found below another one
+            if file != "BSD":
+                rows.append((len(rows), f"{HEADS[0]}\n\n{wrapped}", name, "s", 1, "k"))
     docs = spark.createDataFrame(rows, brute.SCHEMA)
     got = license_scan.scan_licenses(docs, license_scan.known_licenses(spark)).select("doc_id", "license").collect()
     assert sorted(map(tuple, got)) == sorted((r[0], r[2]) for r in rows)
+
+
+def test_license_sql_states_the_same_rule(spark, tmp_path):
+    texts = [f"{head}\n{textwrap.fill(text, 78)}\n{tail}" for head in HEADS for _, _, text in license_scan.WHOLE for tail in ("", "Copyright notice", "all rights reserved")]
+    texts += [f"x\n{a}\n\n{b}\n{c}" for a in HEADS for b in HEADS for c in ("SPDX-License-Identifier: GPL-2.0-only", "(c) 2020 é", "©", "Copyrighted 2020")]
+    texts += [None, "", "\n \n", "all rights reserved\nall rights reserved", "Licensed under CC BY-NC-ND 2.5.", "- Copyright -", "copyright2020", "(C) 20201"]
+    rows = [(None if i % 50 == 7 else i // 2, t, "en", "s", 1, "k") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, brute.SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    names = ["doc_id", "text_digest", "license", "n_notices", "notices"]
+    got = license_scan.scan_licenses(docs, license_scan.known_licenses(spark)).select(*names).collect()
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"select {', '.join(names)} from ({oracles.license_scan()})").fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)

@@ -7,25 +7,6 @@ from tilewright.llm import license_scan as licenses
 from tilewright.llm import phrases
 from tilewright.llm import quality_rules as rules
 
-#: The SQL keeps its line rule, and the digests of long licences under it.
-COPYRIGHT = r"^[^a-z0-9\x{80}-\x{10FFFF}]*(copyright|©|\(c\))([^a-z]|$)"
-DIGESTS = [
-    ("Apache-2.0", "cc411e5c73676ae13e68bf0fe2c031a62b3a1ef56829577a7d168699686c1e7e"),
-    ("Artistic-1.0-Perl", "f273930184a9b8de03336e9ae5d74bef291165524044f55455ee5117f494811a"),
-    ("BSD-3-Clause", "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9"),
-    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
-    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
-    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
-    ("GPL-1.0", "9e12a40a9b22c45d116f19e1746b08ea0b853519de3e03ceb780f2a36d5f388c"),
-    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
-    ("GPL-3.0", "5272fb2d9117cba4ebb1b4a6612e61ab05ddddeff56bd30c3ac3798e23821b30"),
-    ("LGPL-2.0", "96685b4d8003c3671feddcde58622afa814a3ac15dcc419f38b388aff5e16d1d"),
-    ("LGPL-2.1", "22bd2802b7b313faf9750f494c8f07c9eaa0e00ba5b9f7a300e8fa36cfd1319e"),
-    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
-    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
-    ("MPL-2.0", "3dacd2c104719e7227969cbdcc7d581518827199e830b9379627eec0a32f8ab7"),
-]
-
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -35,28 +16,35 @@ def license_scan() -> str:
     spelled = "' ' || replace(trim(regexp_replace(low, '" + licenses.OTHER + "', ' ', 'g')), ' ', '  ') || ' '"
     for old, new in licenses.SPELLINGS.items():
         spelled = f"replace({spelled}, ' {old} ', ' {new} ')"
-    line = f"case when regexp_matches(low, '{COPYRIGHT}') then '' else trim(replace({spelled}, '  ', ' ')) end"
     texts = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in licenses.TEXTS)
-    digests = ", ".join(f"({_text(name)}, {_text(digest)})" for name, digest in DIGESTS)
-    more = f" union all select * from (values {digests}) v(license, digest)" if digests else ""
+    digests = ", ".join(f"({_text(name)}, {_text(digest)})" for name, digest in licenses.DIGESTS)
     lower = f"translate(t, '{licenses._UPPER}', '{licenses._LOWER}')"
+    form = lambda kept: f"sha256(coalesce(string_agg(c, ' ' order by j){kept}, ''))"
     return f"""
-    with texts as (select * from (values {texts}) v(license, text)),
-    cut as (
-      select 'k' kind, license, null::bigint rid, generate_subscripts(string_split(text, chr(10)), 1) i, unnest(string_split(text, chr(10))) t from texts
-      union all
-      select 'd', null, d.rid, generate_subscripts(string_split(text, chr(10)), 1), unnest(string_split(text, chr(10)))
-      from (select row_number() over () rid, coalesce(text, '') as text from documents) d),
-    low as (select kind, license, rid, i, {lower} low from cut),
-    canon as (select * from (select kind, license, rid, i, {line} c from low) where c <> ''),
-    known as (select digest, min(license) license from (
-      select license, sha256(c) digest from canon where kind = 'k'{more}) group by digest),
-    whole as (select rid, sha256(string_agg(c, ' ' order by i)) digest from canon where kind = 'd' group by rid),
-    notice as (select rid, count(*) n, array_to_string(list_sort(list(distinct known.license)), ',') names
-      from canon join known on sha256(c) = digest where kind = 'd' group by rid)
-    select d.doc_id, coalesce(w.digest, sha256('')) text_digest, k.license, coalesce(n.n, 0)::bigint n_notices, coalesce(n.names, '') notices
-    from (select row_number() over () rid, doc_id from documents) d
-    left join whole w using (rid) left join known k on k.digest = w.digest left join notice n using (rid)
+    with texts as (select -row_number() over () as rid, license, text from (values {texts}) v(license, text)),
+    rows as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+    whole as (select rid, text from texts union all select rid, text from rows),
+    cut as (select rid, generate_subscripts(string_split(text, chr(10)), 1) as i, unnest(string_split(text, chr(10))) as t from whole),
+    low as (select rid, i, {lower} as low from cut),
+    canon as (select * from (select rid, i, low, trim(replace({spelled}, '  ', ' ')) as c from low) where c <> ''),
+    kind as (select rid, c, row_number() over (partition by rid order by i) as j, case when regexp_matches(low, '{licenses.MARKED}') then 's'
+      when regexp_matches(low, '{licenses.BEGUN}') then 'c' when c = '{licenses.RIGHTS}' then 'r'
+      when length(c) - length(replace(c, ' ', '')) < {licenses.TITLE_WORDS} then 't' else 'x' end as k from canon),
+    head as (select rid, length(regexp_extract(string_agg(k, '' order by j), '{licenses.HEAD}')) as n,
+      length(regexp_extract(string_agg(k, '' order by j), '{licenses.LEAD}')) as lead from kind group by rid),
+    judged as (select rid, c, j, j <= n and k in ('s', 'c', 'r') as heading, j <= lead as before,
+      k = 's' or k = 'r' and coalesce(lag(k) over (partition by rid order by j) = 's', false) as marked from kind join head using (rid)),
+    forms as (select rid, {form(" filter (not heading and not marked)")} as f1, {form(" filter (not heading)")} as f2,
+      {form(" filter (not before)")} as f3, {form(" filter (not marked)")} as f4, {form("")} as f5 from judged group by rid),
+    each as (select rid, 1 as place, f1 as digest from forms union all select rid, 2, f2 from forms
+      union all select rid, 3, f3 from forms union all select rid, 4, f4 from forms union all select rid, 5, f5 from forms),
+    known as (select digest, min(license) as license from (select license, digest from texts join each using (rid)
+      union all select license, digest from (values {digests}) v(license, digest)) where digest <> sha256('') group by digest),
+    hit as (select rid, arg_min(license, place) as license from each join known using (digest) where rid > 0 group by rid),
+    notice as (select rid, count(*) as n, array_to_string(list_sort(list(distinct license)), ',') as names
+      from kind join known on sha256(c) = digest where rid > 0 group by rid)
+    select doc_id, coalesce(f1, sha256('')) as text_digest, hit.license, coalesce(notice.n, 0)::bigint as n_notices, coalesce(names, '') as notices
+    from rows left join forms using (rid) left join hit using (rid) left join notice using (rid)
     """
 
 
