@@ -52,6 +52,15 @@ def test_line_dedup_of_odd_tables(spark):
     assert got == [("1", "", 2), ("1", "None", 0), ("None", "first line here", 0)]
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = ["_hash", "hash", "Key", "lost", "_id", "_gone", "class", "line_no", "component", "first", "c", "line", "keys"]
+    docs = spark.createDataFrame([(1, "one line of text\nother words here"), (2, "one line of text\nmore")], "doc_id long, text string")
+    odd = docs.selectExpr(*(f"concat('{n}', doc_id) as `{n}`" for n in names), "doc_id", "'x' as n_removed", "text")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(odd).collect()}
+    assert {d: (r.text, r.n_removed) for d, r in got.items()} == {1: ("one line of text\nother words here", 0), 2: ("more", 1)}
+    assert all(r[n] == f"{n}{d}" for d, r in got.items() for n in names)
+
+
 def test_substring_dedup(docs, rows):
     got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(docs).collect()}
     want = brute.remove_repeats(rows)

@@ -38,9 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or what it takes behind it to be no column of ``df``, in any case of letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(column, modulus: int, remainder: int):
     """crc32 of the id as text falls on the remainder; a null id is not held out."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-__all__ = ["SPACE", "held_out", "prepare", "shared_dir", "staging_path", "stored", "table"]
+__all__ = ["SPACE", "free_name", "held_out", "prepare", "shared_dir", "staging_path", "stored", "table"]
