@@ -63,21 +63,22 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _rows(parts)
 
 
-def _collected(hashes: DataFrame, merged: DataFrame, chunks: int) -> Broadcast:
+def _collected(hashes: DataFrame, merged: DataFrame, chunks: int, at_once: bool = False) -> Broadcast:
     table = np.zeros(max(1, chunks) * _CHUNK_BYTES, dtype=np.uint8)
     codec = pa.Codec("zstd")
-    for row in merged.toLocalIterator():
+    # at once: a job for all chunks in place of a job for each task
+    for row in merged.collect() if at_once else merged.toLocalIterator():
         bits = np.frombuffer(codec.decompress(bytes(row.bits), _CHUNK_BYTES), dtype=np.uint8)
         table[row.chunk * _CHUNK_BYTES : (row.chunk + 1) * _CHUNK_BYTES] = bits
     return hashes.sparkSession.sparkContext.broadcast(Packed(table))
 
 
-def build(hashes: DataFrame, log_bits: int) -> Broadcast:
+def build(hashes: DataFrame, log_bits: int, at_once: bool = False) -> Broadcast:
     """Bit table of the only column (64-bit hashes as long); the driver sees 2 ** (log_bits - 3) bytes."""
     schema = "chunk int, bits binary"
     chunks = 1 << max(0, log_bits - CHUNK_LOG)
     merged = hashes.mapInArrow(_set_bits(log_bits), schema).repartition(min(chunks, 32), "chunk").mapInArrow(_merge, schema)
-    return _collected(hashes, merged, chunks)
+    return _collected(hashes, merged, chunks, at_once)
 
 
 def _count_bits(log_bits: int) -> Callable:
@@ -121,4 +122,4 @@ def build_twice(hashes: DataFrame, log_bits: int) -> Broadcast:
     schema = "chunk int, once binary, twice binary"
     chunks = 1 << max(0, log_bits - CHUNK_LOG)
     counted = hashes.mapInArrow(_count_bits(log_bits), schema).repartition(min(chunks, 32), "chunk")
-    return _collected(hashes, counted.mapInArrow(_merge_counts, "chunk int, bits binary"), chunks)
+    return _collected(hashes, counted.mapInArrow(_merge_counts, "chunk int, bits binary"), chunks, at_once=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.session import cut_lineage
+from tilewright.llm.shared import stored
 
 
 def _smaller_first(edges: DataFrame) -> DataFrame:
@@ -41,14 +41,14 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component for every node of ``edges`` (a, b: long): the smallest node reachable.
 
     Loops and repeated edges are allowed; nodes without an edge to another are not in the result.
-    Rounds grow with the logarithm of the longest path; each ends in a reliable checkpoint, and
+    Rounds grow with the logarithm of the longest path; each is written to the shared folder, and
     only one row of counts reaches the driver. Large groups are reduced before their shuffle
     (min per node) and meet again in a plain join, which adaptive execution can split.
     """
-    current = cut_lineage(_smaller_first(edges))
+    current = stored(_smaller_first(edges), "edges")
     mark = _mark(current)
     while mark[0]:
-        following = cut_lineage(_small_star(_large_star(current)))
+        following = stored(_small_star(_large_star(current)), "edges")
         new_mark = _mark(following)
         current = following
         if new_mark == mark:

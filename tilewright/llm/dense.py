@@ -62,11 +62,11 @@ def _add(size: int) -> Callable:
     return run
 
 
-def total(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum of the tables of all tasks (rows of ``SCHEMA``); ``size`` cells reach the driver."""
+def total(parts: DataFrame, size: int, at_once: bool = False) -> np.ndarray:
+    """Sum of the tables of all tasks (rows of ``SCHEMA``); ``size`` cells reach the driver, at once by one job or task by task."""
     added = parts.repartition(-(-size // CHUNK), "chunk").mapInArrow(_add(size), SCHEMA)
     values = np.zeros(size, dtype=np.int64)
-    for r in added.toLocalIterator():
+    for r in added.collect() if at_once else added.toLocalIterator():
         at = r.chunk * CHUNK
         values[at : at + CHUNK] = _unpacked(min(CHUNK, size - at), r.wide, bytes(r.packed))
     return values

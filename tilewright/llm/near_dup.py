@@ -225,7 +225,7 @@ def linked_classes(
     apart = stored(labelled.join(mixed.select("key"), "key", "left_semi").select("class", "component").distinct(), f"{name}-apart")
     # two sets that are similar enough share one of their rarest shingles, in any order that is the same for all
     sets = sets_of(items.join(apart.select("class").distinct(), "class", "left_semi"))
-    sketch = dense.total(sets.select("shingles").mapInArrow(_sketch, dense.SCHEMA), 1 << SKETCH_LOG)
+    sketch = dense.total(sets.select("shingles").mapInArrow(_sketch, dense.SCHEMA), 1 << SKETCH_LOG, at_once=True)
     rarest = _rarest(keyed.sparkSession.sparkContext.broadcast(dense.Packed(sketch.astype(np.int32))), percent)
     prefixes = stored(sets.mapInArrow(rarest, "key long, class long, n int, i int").join(apart, "class"), f"{name}-prefixes")
     several = prefixes.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
@@ -247,7 +247,7 @@ def linked_classes(
     # only what the pairs name is joined with them; the bit table keeps the rest out of the shuffle
     crossing = stored(crossing, f"{name}-crossing")
     named = crossing.select(F.explode(F.array("a", "b")).alias("class"))
-    table = bitfilter.build(named.select(F.xxhash64("class")), NAMED_LOG_BITS)
+    table = bitfilter.build(named.select(F.xxhash64("class")), NAMED_LOG_BITS, at_once=True)
     few = items.withColumn("h", F.xxhash64("class")).mapInArrow(_named(table), items.schema)
     return components(stored(first_links.unionByName(similar(joined_pairs(crossing, few), percent)), f"{name}-links"))
 
