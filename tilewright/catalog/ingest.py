@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
+from collections.abc import Callable
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,22 +193,38 @@ select s.doc_id, concat('store/', s.doc_id) as path,
 from sheet s join documents d using (doc_id)"""
 
 
+def _zipped(rows: DataFrame, folder: str, prefix: str, place: Callable) -> DataFrame:
+    """Archives of ten documents each: ``place(path, entries)`` gives an archive's row; rows of an archive lie together and stream.
+
+    A file per archive in ``folder``, a member ``<prefix><doc_id>.txt`` per document.
+    """
+    path = F.concat(F.lit(folder), F.floor(F.col("doc_id") / 10), F.lit(".zip"))
+    docs = rows.select(path.alias("path"), F.concat(F.lit(prefix), "doc_id", F.lit(".txt")).alias("member"), "doc_id", "text")
+    names = ["path", "content"]
+
+    def pack(batches):
+        rows = (row for batch in batches for row in zip(*[batch[c].to_pylist() for c in ("path", "member", "text")]))
+        yield from FI._in_batches((place(path, entries) for path, entries in itertools.groupby(rows, itemgetter(0))), names)
+
+    together = docs.repartition("path").sortWithinPartitions("path", "doc_id").select("path", "member", "text")
+    return together.mapInArrow(pack, "path string, content binary")
+
+
+def _write_members(out, entries) -> None:
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        for _, member, body in entries:
+            archive.writestr(member, body)
+
+
 def unzip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of ten documents each, expanded again."""
-    docs = V.table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("store/"), F.floor(F.col("doc_id") / 10), F.lit(".zip")).alias("path"), "doc_id", "text"
-    )
-
-    def pack(pdf):
-        import pandas as pd
 
+    def in_memory(path, entries):
         buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            for doc, body in zip(pdf["doc_id"], pdf["text"]):
-                archive.writestr(f"{doc}.txt", body)
-        return pd.DataFrame({"path": [pdf["path"].iloc[0]], "content": [buffer.getvalue()]})
+        _write_members(buffer, entries)
+        return path, buffer.getvalue()
 
-    archives = docs.groupBy("path").applyInPandas(pack, "path string, content binary")
+    archives = _zipped(V.table(spark, sf_dir, "documents"), "store/", "", in_memory)
     return FI.unzip_members(archives).select("archive", "member", "size", F.md5("content").alias("md5"))
 
 
@@ -216,23 +235,17 @@ UNZIP = """select concat('store/', doc_id // 10, '.zip') as archive, concat(doc_
 def ingest_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of ten documents each in a folder, listed, expanded beside themselves and digested from the files."""
     folder = FI.qualified(spark, staging_path(spark, "archives"))
-    docs = V.table(spark, sf_dir, "documents").select(
-        F.concat(F.lit(f"{folder}/"), F.floor(F.col("doc_id") / 10), F.lit(".zip")).alias("path"), "doc_id", "text"
-    )
 
-    def pack(pdf):
-        import pandas as pd
+    def in_file(path, entries):
         from pyarrow import fs
 
-        path = pdf["path"].iloc[0]
         system, at = fs.FileSystem.from_uri(path)
         system.create_dir(at.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(at) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-            for doc, body in zip(pdf["doc_id"], pdf["text"]):
-                archive.writestr(f"d/{doc}.txt", body)
-        return pd.DataFrame({"path": [path]})
+        with system.open_output_stream(at) as out:
+            _write_members(out, entries)
+        return path, b""
 
-    written = cut_lineage(docs.groupBy("path").applyInPandas(pack, "path string"))
+    written = cut_lineage(_zipped(V.table(spark, sf_dir, "documents"), f"{folder}/", "d/", in_file).select("path"))
     cut_lineage(FI.expand_beside(FI.archive_members(written)))
     files = FI.file_inventory(spark, folder, glob="*.txt")
     found = files.join(FI.file_digests(files), "path")

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilewright.session import cut_lineage
+
 
 def file_inventory(spark: SparkSession, folder: str, hash_content: bool = False, glob: str | None = None) -> DataFrame:
     """``path, name, length, modified`` of existing files, and ``md5`` when asked for.
@@ -125,36 +130,41 @@ def archive_members(archives: DataFrame) -> DataFrame:
     have no members; a member named twice is listed once, with its last size, as the later one overwrites.
     """
 
-    def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for path in batch["path"]:
+            for path in batch["path"].to_pylist():
                 with _opened(path) as archive:
                     names = {i.filename: i.file_size for i in archive.infolist() if not i.is_dir()}
-                yield pd.DataFrame({"archive": path, "member": list(names), "size": list(names.values())})
+                for name, size in names.items():
+                    yield path, name, size
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _in_batches(listed(batches), ["archive", "member", "size"])
 
     paths = archives.where(F.lower("path").endswith(".zip")).select("path").distinct()
-    return paths.mapInPandas(listing, MEMBER)
+    return paths.mapInArrow(listing, MEMBER)
 
 
 def expand_beside(members: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     """Write the listed members beside their archives: ``archive, member, size, path, md5`` of every file written.
 
-    Members are spread over tasks by archive and name, and stream in chunks, so memory depends neither on an
-    archive's size nor on a member's.  A file is put in place whole, so a retried task is
-    harmless.  A name that would leave the archive's folder fails the job.  When archives of one
+    Members are spread over tasks in runs of about ``RUN`` of one archive, which is opened once for a run, and stream in
+    chunks, so memory depends neither on an archive's size nor on a member's.  A file is put in place whole, so a
+    retried task is harmless.  A name that would leave the archive's folder fails the job.  When archives of one
     folder hold the same name, the archive last in order of path is the one that is written.
     """
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, part in batch.groupby("archive", sort=False):
-                with _opened(path) as archive:
-                    for member, target in zip(part["member"], part["path"]):
-                        info = archive.getinfo(member)
-                        md5 = _copy_member(archive, info, target, chunk)
-                        yield pd.DataFrame(
-                            [(path, member, info.file_size, target, md5)], columns=["archive", "member", "size", "path", "md5"]
-                        )
+    def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        made: set[str] = set()
+        rows = (row for batch in batches for row in zip(*[batch[c].to_pylist() for c in ("archive", "member", "path")]))
+        for path, run in itertools.groupby(rows, itemgetter(0)):
+            with _opened(path) as archive:
+                for _, member, target in run:
+                    info = archive.getinfo(member)
+                    yield path, member, info.file_size, target, _copy_member(archive, info, target, chunk, made)
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _in_batches(expanded(batches), ["archive", "member", "size", "path", "md5"])
 
     outside = F.col("member").rlike(r"(^|[/\\])\.\.([/\\]|$)|^[/\\]")
     safe = F.when(outside, F.raise_error(F.concat(F.lit("Member outside its folder: "), "archive", F.lit(" "), "member")))
@@ -162,8 +172,30 @@ def expand_beside(members: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     last = members.select("archive", "member", target.alias("path")).groupBy("path").agg(
         F.max(F.struct("archive", "member")).alias("last")
     )
-    spread = last.select("last.archive", "last.member", "path").repartition("archive", "member")
-    return spread.mapInPandas(expand, f"{MEMBER}, path string, md5 string")
+    last = cut_lineage(last.select("last.archive", "last.member", "path"))
+    runs = last.groupBy("archive").agg(F.ceil(F.count(F.lit(1)) / RUN).alias("runs"))
+    spread = last.join(runs, "archive").withColumn("run", F.pmod(F.xxhash64("member"), F.col("runs")))
+    spread = spread.repartition("archive", "run").sortWithinPartitions("archive", "member")
+    return spread.select("archive", "member", "path").mapInArrow(expand, f"{MEMBER}, path string, md5 string")
+
+
+#: Members of one archive that a task writes with the archive opened once.
+RUN = 64
+# Output rows are handed back in Arrow batches of about this many bytes, or so many rows.
+BATCH_BYTES, BATCH_ROWS = 16 << 20, 5000
+
+
+def _in_batches(rows: Iterable[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded bytes; a large row is a batch of its own."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=names)
 
 
 MEMBER = "archive string, member string, size bigint"
@@ -179,15 +211,18 @@ def _opened(path: str) -> Iterator[zipfile.ZipFile]:
         yield archive
 
 
-def _copy_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, path: str, chunk: int) -> str:
-    """Stream one member to its place; the digest of what was written."""
+def _copy_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, path: str, chunk: int, made: set[str]) -> str:
+    """Stream one member to its place; the digest of what was written.  ``made``: folders that this task has made."""
     import hashlib
     import uuid
 
     from pyarrow import fs
 
     system, at = fs.FileSystem.from_uri(path)
-    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    folder = at.rsplit("/", 1)[0]
+    if folder not in made:
+        system.create_dir(folder, recursive=True)
+        made.add(folder)
     part, seen = f"{at}.{uuid.uuid4().hex}.part", hashlib.md5()
     with archive.open(info) as source, system.open_output_stream(part) as out:
         while data := source.read(chunk):
@@ -200,20 +235,21 @@ def _copy_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, path: str, chu
 def unzip_members(files: DataFrame, with_content: bool = True) -> DataFrame:
     """``archive, member, size, content`` of every ``.zip`` among ``path, content`` rows.
 
-    Members come out one by one: an archive's members are never all in memory.
+    Members come out one by one, in batches of bounded bytes: an archive's members are never all in memory.
     """
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
                     for info in archive.infolist():
-                        if info.is_dir():
-                            continue
-                        data = archive.read(info) if with_content else None
-                        yield pd.DataFrame(
-                            [(path, info.filename, info.file_size, data)], columns=["archive", "member", "size", "content"]
-                        )
+                        if not info.is_dir():
+                            yield path, info.filename, info.file_size, archive.read(info) if with_content else None
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in _in_batches(members(batches), ["archive", "member", "size", "content"]):
+            # without contents, the column of nulls needs its type
+            yield out if with_content else out.set_column(3, "content", pa.nulls(len(out), pa.binary()))
 
     archives = files.where(F.col("path").endswith(".zip")).select("path", "content")
-    return archives.mapInPandas(expand, "archive string, member string, size bigint, content binary")
+    return archives.mapInArrow(expand, "archive string, member string, size bigint, content binary")
