@@ -287,20 +287,32 @@ COMPLETE = f"with {V.VALID} select id, pattern, count(distinct filename) as n_me
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts of the documents in files by source, language and hundred of ids, listed with their digests, which tasks stream."""
+    """The texts of the documents in files by source, language and hundred of ids, listed with their digests, which tasks stream.
+
+    A folder holds all files of a source and language: folders, which the driver lists, don't grow with the documents.
+    """
     folder = FI.qualified(spark, staging_path(spark, "store"))
     docs = V.table(spark, sf_dir, "documents").select(
         "source", "lang", F.floor(F.col("doc_id") / 100).alias("part"), "doc_id", F.col("text").alias("value")
     )
-    placed = docs.repartition("source", "lang", "part").sortWithinPartitions("source", "lang", "part", "doc_id")
-    placed.drop("doc_id").write.partitionBy("source", "lang", "part").text(folder)
+    # Names that any file system and URI takes; null and empty are called as Spark calls such partitions.
+    safe = lambda c: F.coalesce(F.nullif(F.replace(F.url_encode(c), F.lit("%"), F.lit("~")), F.lit("")), F.lit(NO_NAME))
+    number = F.coalesce(F.col("part").cast("string"), F.lit(NO_NAME))
+    path = F.concat(F.lit(f"{folder}/source="), safe("source"), F.lit("/lang="), safe("lang"), F.lit("/part="), number, F.lit(".txt"))
+    placed = docs.repartition("source", "lang", "part").select(path.alias("path"), "doc_id", "value")
+    cut_lineage(FI.write_lines(placed.sortWithinPartitions("path", "doc_id")))
     files = FI.file_inventory(spark, folder, glob="*.txt")
     found = files.join(FI.file_digests(files), "path")
-    place = r"/source=([^/]+)/lang=([^/]+)/part=(\d+)/"
-    names = [F.regexp_extract("path", place, k).alias(c) for k, c in ((1, "source"), (2, "lang"))]
-    return found.select(*names, F.regexp_extract("path", place, 3).cast("long").alias("part"), F.col("length").alias("n_bytes"), "md5")
+    place = r"/source=([^/]+)/lang=([^/]+)/part=([^/]+)\.txt$"
+    names = [
+        F.url_decode(F.replace(F.regexp_extract("path", place, k), F.lit("~"), F.lit("%"))).alias(c)
+        for k, c in ((1, "source"), (2, "lang"))
+    ]
+    part = F.regexp_extract("path", place, 3).try_cast("long").alias("part")
+    return found.select(*names, part, F.col("length").alias("n_bytes"), "md5")
 
 
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 INVENTORY = """select source, lang, doc_id // 100 as part, strlen(string_agg(text, chr(10) order by doc_id)) + 1 as n_bytes,
   md5(string_agg(text, chr(10) order by doc_id) || chr(10)) as md5 from documents group by all"""
 

@@ -70,6 +70,39 @@ def file_digests(paths: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     return paths.select("path").distinct().mapInPandas(digest, "path string, md5 string")
 
 
+def write_lines(rows: DataFrame) -> DataFrame:
+    """Write ``value`` as lines to the file named by ``path``: ``path, n_lines`` of every file written.
+
+    Rows of one file lie together in one partition, in the order of its lines; a null is an empty line.
+    Tasks stream them and put a file in place whole, so there is neither a directory nor a commit per file.
+    """
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        import uuid
+
+        from pyarrow import fs
+
+        made: set[str] = set()
+        rows = (row for batch in batches for row in zip(batch["path"].to_pylist(), batch["value"].to_pylist()))
+        for path, lines in itertools.groupby(rows, itemgetter(0)):
+            system, at = fs.FileSystem.from_uri(path)
+            folder = at.rsplit("/", 1)[0]
+            if folder not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
+            part, n = f"{at}.{uuid.uuid4().hex}.part", 0
+            with system.open_output_stream(part, buffer_size=1 << 16) as out:
+                for n, (_, value) in enumerate(lines, start=1):
+                    out.write((value or "").encode() + b"\n")
+            system.move(part, at)
+            yield path, n
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _in_batches(written(batches), ["path", "n_lines"])
+
+    return rows.select("path", "value").mapInArrow(write, "path string, n_lines bigint")
+
+
 def plan_fetch(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     """Manifest rows whose file is not there yet."""
     return manifest.join(inventory.select("path"), "path", "left_anti")
