@@ -231,6 +231,12 @@ OVERLAP_PAIRS = f"""with {V.TILES}, o as ({_OVERLAP.format(p=1)})
 select *, (hi_y - lo_y) * (hi_x - lo_x) as overlap from o"""
 
 
+def _whole_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Pieces of one image line, as a ragged image has them, joined in order of x."""
+    pieces = F.array_sort(F.collect_list(F.struct("x0", "line")))
+    return lines.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda p: p["line"]), ",").alias("line"))
+
+
 def _inputs(spark: SparkSession, sf_dir: str):
     """Tiles and blocks as the convert stage leaves them: stored tables."""
     tiles = cut_lineage(V.tiles(spark, sf_dir))
@@ -385,7 +391,7 @@ qualify rank <= 3"""
 
 def _fused(spark, sf_dir, positions, **options) -> DataFrame:
     tiles, blocks, _ = _inputs(spark, sf_dir)
-    return fuse(blocks, tiles, positions or tiles, OUT_CELL, **options)
+    return fuse(blocks, tiles, positions or tiles, OUT_CELL, reach=B.tile_sizes(blocks), **options)
 
 
 def fused_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,7 +413,7 @@ def fused_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles = cut_lineage(V.tiles(spark, sf_dir).where("tile_index % 3 <> 1"))
     blocks = cut_lineage(V.tile_blocks(spark, sf_dir))
     blocks = blocks.join(tiles.select("acq_id", "tile_index"), ["acq_id", "tile_index"], "left_semi")
-    return _lines(fuse(blocks, tiles, tiles, OUT_CELL), ["cy", "cx"]).drop("z")
+    return _lines(fuse(blocks, tiles, tiles, OUT_CELL, reach=B.tile_sizes(blocks)), ["cy", "cx"]).drop("z")
 
 
 def fused_solved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,7 +421,7 @@ def fused_solved(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles, blocks, pairs = _inputs(spark, sf_dir)
     found = cut_lineage(pair_shifts(pair_crops(blocks, tiles, pairs, SEARCH), SEARCH, "phase", min_overlap=64))
     positions, _ = solve_positions(tiles, to_links(tiles, found))
-    return _lines(fuse(blocks, tiles, positions, OUT_CELL, fill=False), ["cy", "cx"]).drop("z")
+    return _lines(fuse(blocks, tiles, positions, OUT_CELL, fill=False, reach=B.tile_sizes(blocks)), ["cy", "cx"]).drop("z")
 
 
 def _fuse_sql(ypos, xpos, value, fill, keep="true"):
@@ -453,9 +459,8 @@ def pyramid_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sum_lines(levels: DataFrame) -> DataFrame:
-    return to_scanlines(levels, ["level", "cy", "cx"], "<i8").select(
-        "level", "cy", "cx", "y", F.array_join("values", ",").alias("line")
-    )
+    lines = to_scanlines(levels, ["level", "cy", "cx"], "<i8").withColumn("line", F.array_join("values", ","))
+    return _whole_lines(lines, ["level", "cy", "cx", "y"])
 
 
 PYRAMID_LEVELS = f"""with {V.SCENE},
@@ -472,7 +477,7 @@ def pyramid_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene, factors = _scene_pyramid(spark, sf_dir)
     extents = B.tile_sizes(scene).select("acq_id", *[F.col(f"size_{a}").alias(f"ext_{a}") for a in "zyx"])
     means = level_means(pyramid(scene, factors, (1, 32, 32)), extents, factors)
-    return _lines(means, ["level", "cy", "cx"]).drop("z", "x0")
+    return _whole_lines(_lines(means, ["level", "cy", "cx"]), ["level", "cy", "cx", "y"])
 
 
 PYRAMID_MEANS = f"""with {V.SCENE},

@@ -153,7 +153,8 @@ def mosaic_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage coordinates of those tiles at their nominal places, for the default resolution and axes."""
     placed = mosaic_planes(spark, sf_dir).select("acq_id", "tile_index").distinct().join(tiles(spark, sf_dir).drop("acq_id"), "tile_index")
     at = [-F.col("pos_x") * 0.23, F.col("pos_y") * 0.23, F.col("pos_z") * 0.42]
-    return placed.select("acq_id", "tile_index", F.array(*[c.cast("double") for c in at]).alias("stage"))
+    size = [F.lit(2).alias("size_z"), "size_y", "size_x"]
+    return placed.select("acq_id", "tile_index", F.array(*[c.cast("double") for c in at]).alias("stage"), *size)
 
 
 def true_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.operators.boxes import BOX_FIELDS, CELL, broadcast_if_bounded, fields_of, paste, reduce_boxes, split_to_grid, to_bytes
+from tilewright.operators.boxes import BOX_FIELDS, CELL, broadcast_if_bounded, fields_of, held_parts, paste_held, reduce_boxes, split_to_grid, to_bytes
 
 
 def kernel_weights(sigma: float) -> np.ndarray:
@@ -32,6 +32,7 @@ def gaussian_blur(
 
     ``sizes``: keys[0..] of an image with ``size_z,size_y,size_x``; ``keys`` names one image
     (for example acquisition, tile, channel).  Output samples are float64.
+    Samples that no block has add nothing and get none; x is blurred first, then y, then z.
     """
     weights = kernel_weights(sigma)
     radius = len(weights) // 2
@@ -47,13 +48,14 @@ def gaussian_blur(
     def blur(key, rows):
         rows = list(rows)
         size = tuple(getattr(rows[0], c) for c in size_cols)
-        block, origin = paste(rows)
-        out = block.astype("float64")
-        lo = []
-        for axis in range(3):
-            start = key[len(keys) + axis] * cell[axis]
-            stop = min(start + cell[axis], size[axis])
-            lo.append(start)
+        lo = [k * c for k, c in zip(key[len(keys) :], cell)]
+        hi = [min(o + c, s) for o, c, s in zip(lo, cell, size)]
+        origin = [max(o - h, 0) for o, h in zip(lo, halo)]
+        shape = [min(e + h, s) - o for e, h, s, o in zip(hi, halo, size, origin)]
+        block, held, _ = paste_held(rows, bounds=(origin, shape))
+        out, whole = block.astype("float64"), held.all()
+        for axis in (2, 1, 0):
+            start, stop = lo[axis], hi[axis]
             if axis not in axes:
                 continue
             at = np.arange(start, stop)[:, None] + np.arange(-radius, radius + 1)[None, :]
@@ -61,7 +63,12 @@ def gaussian_blur(
             at = np.abs(at) % period
             at = np.where(at >= size[axis], period - at, at) - origin[axis]
             out = np.moveaxis(np.moveaxis(out, axis, -1)[..., at] @ weights, -1, axis)
-        yield (*key[: len(keys)], *lo, *out.shape, to_bytes(out, "<f8"))
+            held = held.take(range(start - origin[axis], stop - origin[axis]), axis)
+            if not whole:
+                out = np.where(held, out, 0.0)
+        for part in held_parts(held):
+            piece = out[part]
+            yield (*key[: len(keys)], *[o + s.start for o, s in zip(lo, part)], *piece.shape, to_bytes(piece, "<f8"))
 
     # Cells that only receive halo from a neighbour lie outside the image.
     starts = [(F.col(c) >= 0) & (F.col(c) * n < F.col(s)) for c, n, s in zip(CELL, cell, size_cols)]

@@ -124,14 +124,20 @@ def _by_pixel(codes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ordered(codes: bytes, counts: bytes, depth: int) -> np.ndarray:
-    """pixels x depth: every pixel's samples in rising order."""
-    return np.repeat(np.frombuffer(codes, "int64") & 0xFFFF, np.frombuffer(counts, "int64")).reshape(-1, depth)
+    """pixels x depth: every pixel's samples in rising order; fewer samples are spread evenly over the ranks."""
+    values = np.repeat(np.frombuffer(codes, "int64") & 0xFFFF, np.frombuffer(counts, "int64"))
+    _, depths = _by_pixel(codes, counts)
+    if (depths == depth).all():
+        return values.reshape(-1, depth)
+    first = np.cumsum(depths) - depths
+    return values[first[:, None] + (2 * np.arange(depth) + 1)[None, :] * depths[:, None] // (2 * depth)]
 
 
 def curves(histograms: DataFrame) -> DataFrame:
     """``acq_id, channel, n_px, depth, q``: per channel the sums over pixels of the k-th smallest samples (int64 bytes).
 
-    Every pixel of a channel must have the same number of samples.
+    Every pixel of a channel must have the same number of samples, unless ``deepest`` (a column of the
+    histograms) says to how many ranks the samples of the others are spread.
     """
     schema = T.StructType(
         [
@@ -142,14 +148,16 @@ def curves(histograms: DataFrame) -> DataFrame:
         ]
     )
     uneven = "every pixel of a channel needs the same number of samples"
+    spread = "deepest" in histograms.columns
 
     def part(row):
         place, depths = _by_pixel(row.codes, row.counts)
         if len(place):
-            if depths.min() != depths.max():
+            depth = row.deepest if spread else int(depths[0])
+            if not spread and depths.min() != depths.max():
                 raise ValueError(uneven)
-            q = _ordered(row.codes, row.counts, int(depths[0])).sum(axis=0)
-            yield (row.acq_id, row.channel, len(place), int(depths[0]), q.tobytes())
+            q = _ordered(row.codes, row.counts, depth).sum(axis=0)
+            yield (row.acq_id, row.channel, len(place), depth, q.tobytes())
 
     def add(key, parts):
         n_px, depth, q = 0, None, 0
@@ -163,12 +171,29 @@ def curves(histograms: DataFrame) -> DataFrame:
     return reduce_boxes(parts, CHANNEL, add, schema)
 
 
-def estimate(histograms: DataFrame, cell_yx: tuple[int, int]) -> DataFrame:
-    """``acq_id, channel, cy, cx, y0, x0, fy, fx, s, t``: fields as float64 planes, one box per cell of the histograms."""
+def _deepest(histograms: DataFrame) -> DataFrame:
+    """``acq_id, channel, deepest``: the most samples that a pixel has."""
+    schema = T.StructType([*fields_of(histograms, CHANNEL), T.StructField("deepest", T.LongType())])
+
+    def depth(row):
+        depths = _by_pixel(row.codes, row.counts)[1]
+        if len(depths):
+            yield (row.acq_id, row.channel, int(depths.max()))
+
+    return map_boxes(histograms, depth, schema).groupBy(*CHANNEL).agg(F.max("deepest").alias("deepest"))
+
+
+def estimate(histograms: DataFrame, cell_yx: tuple[int, int], uneven: bool = False) -> DataFrame:
+    """``acq_id, channel, cy, cx, y0, x0, fy, fx, s, t``: fields as float64 planes, one box per cell of the histograms.
+
+    Pixels with fewer samples than others, as where tiles lack some, are an error unless ``uneven`` allows them; then their
+    order statistics are spread over the ranks of the deepest.
+    """
     ch, cw = cell_yx
     # Counting reads all samples; both later steps read the histograms.
     histograms = cut_lineage(histograms)
-    curve = cut_lineage(curves(histograms))
+    ranked = histograms.join(broadcast_if_bounded(cut_lineage(_deepest(histograms)), row_bytes=64), CHANNEL) if uneven else histograms
+    curve = cut_lineage(curves(ranked))
     # A curve is 8 bytes per rank: as large as the deepest stack, of which the count is taken first.
     deepest = curve.agg(F.max("depth")).first()[0] or 0
     met = histograms.join(broadcast_if_bounded(curve, row_bytes=8 * deepest + 64), CHANNEL)

@@ -31,11 +31,12 @@ KEYS = ["acq_id", "channel"]
 GROUP_LIMIT = 64
 
 
-def placed_tiles(tiles: DataFrame, positions: DataFrame, cell: tuple[int, int, int]) -> DataFrame:
+def placed_tiles(tiles: DataFrame, positions: DataFrame, cell: tuple[int, int, int], reach: DataFrame | None = None) -> DataFrame:
     """Tiles at integer positions from the acquisition's low corner, its extent, and a salt count.
 
     ``salts`` is 1 unless many tiles pile up on one output block; then its tiles spread over
     about ``n / max(GROUP_LIMIT, sqrt(n))`` groups whose partial sums are merged afterwards.
+    With ``reach``, sizes as the tiles' samples fill them, the extent ends with the last sample.
     """
     placed = tiles.select("acq_id", "tile_index", *[f"size_{a}" for a in AXES]).join(
         positions.select(
@@ -44,9 +45,16 @@ def placed_tiles(tiles: DataFrame, positions: DataFrame, cell: tuple[int, int, i
         ),
         ["acq_id", "tile_index"],
     )
-    extent = placed.groupBy("acq_id").agg(
+    ends = [F.col(f"size_{a}").alias(f"reach_{a}") for a in AXES]
+    # A tile without samples counts with its place only.
+    reached = (
+        placed.select("*", *ends)
+        if reach is None
+        else placed.join(reach.select("acq_id", "tile_index", *ends), ["acq_id", "tile_index"], "left")
+    )
+    extent = reached.groupBy("acq_id").agg(
         *[F.min(f"p_{a}").alias(f"min_{a}") for a in AXES],
-        *[F.max(F.col(f"p_{a}") + F.col(f"size_{a}")).alias(f"max_{a}") for a in AXES],
+        *[F.max(F.col(f"p_{a}") + F.col(f"reach_{a}")).alias(f"max_{a}") for a in AXES],
     )
     placed = placed.join(extent, "acq_id").select(
         "acq_id", "tile_index",
@@ -123,13 +131,15 @@ def fuse(
     cell: tuple[int, int, int],
     blending: bool = True,
     fill: bool = True,
+    reach: DataFrame | None = None,
 ) -> DataFrame:
     """Output blocks ``acq_id, channel, cell, box`` over the whole extent of each acquisition.
 
     Output coordinates start at the acquisition's low corner.  With ``fill``, voxels that no
     tile covers take the channel's background (its 1st percentile sample), otherwise 0.
+    ``reach``: how far each tile's samples go, where the extent shall end with the last of them (``tile_sizes``).
     """
-    placed = cut_lineage(placed_tiles(tiles, positions, cell))
+    placed = cut_lineage(placed_tiles(tiles, positions, cell, reach))
     facts = placed.agg(F.max("salts").alias("salts"), F.count("*").alias("n")).first()
     partial = (facts["salts"] or 1) > 1
     # Tile rows are metadata; they are broadcast to the blocks while their counted size is small.

@@ -23,7 +23,7 @@ from tilewright.operators.boxes import (
     crop_boxes,
     fields_of,
     map_boxes,
-    paste,
+    paste_held,
     pixels,
     reduce_boxes,
     split_to_grid,
@@ -34,6 +34,7 @@ from tilewright.session import cut_lineage
 AXES = ("z", "y", "x")
 PAIR = ["acq_id", "i", "j"]
 SHIFT = [f"d{a}" for a in AXES]
+HELD = T.StructField("held", T.BinaryType())
 #: Windows (z, y, x) in which overlaps are matched.
 WINDOW = (64, 128, 128)
 
@@ -86,21 +87,23 @@ def window_pairs(crops: DataFrame, search: tuple[int, int, int], cell: tuple[int
     """One row per pair and window: the samples of tile i in it, and those of tile j within the search radius of it.
 
     Columns are ``acq_id, i, j``, the window, the box of i, and the box of j with a ``b_`` before its names.
+    ``held`` (a byte per sample) tells which samples the tile has; it is null when none is missing.
     """
     keep = [*PAIR, "side"]
     near = [
         split_to_grid(crops.where(F.col("side") == side), cell, keep, halo, dtype)
         for side, halo in (("i", (0, 0, 0)), ("j", search))
     ]
-    fields = [*fields_of(crops, PAIR), *[T.StructField(c, T.LongType()) for c in CELL], *BOX_FIELDS]
-    schema = T.StructType([*fields, *[T.StructField(f"b_{f.name}", f.dataType) for f in BOX_FIELDS]])
+    fields = [*fields_of(crops, PAIR), *[T.StructField(c, T.LongType()) for c in CELL], *BOX_FIELDS, HELD]
+    schema = T.StructType([*fields, *[T.StructField(f"b_{f.name}", f.dataType) for f in (*BOX_FIELDS, HELD)]])
 
     def meet(key, rows):
         rows = list(rows)
         sides = [[r for r in rows if r.side == side] for side in ("i", "j")]
         if all(sides):
-            boxes = [paste(side, dtype) for side in sides]
-            yield (*key, *itertools.chain(*[(*origin, *block.shape, to_bytes(block, dtype)) for block, origin in boxes]))
+            boxes = [paste_held(side, dtype) for side in sides]
+            mask = lambda held: None if held.all() else held.tobytes()
+            yield (*key, *itertools.chain(*[(*at, *block.shape, to_bytes(block, dtype), mask(held)) for block, held, at in boxes]))
 
     # Both sides of a window travel in one shuffle, told apart by `side`.
     return reduce_boxes(near[0].unionByName(near[1]), [*PAIR, *CELL], meet, schema)
@@ -112,6 +115,13 @@ def _sides(row, dtype: str) -> tuple:
     return a, b, (row.z0, row.y0, row.x0), (row.b_z0, row.b_y0, row.b_x0)
 
 
+def _masks(row, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Which samples of a window both tiles have; None when they have all."""
+    if row.held is None and row.b_held is None:
+        return None
+    return tuple(np.ones(v.shape, bool) if h is None else pixels(h, *v.shape, "?") for h, v in ((row.held, a), (row.b_held, b)))
+
+
 def _shared(a, b, oa, ob, shift):
     """The parts of ``a`` and of ``b`` moved by ``shift`` that cover the same voxels."""
     lo = [max(p, q + s) for p, q, s in zip(oa, ob, shift)]
@@ -127,17 +137,19 @@ def _search_range(search) -> list[tuple[int, ...]]:
     return list(itertools.product(*[range(-s, s + 1) for s in search]))
 
 
-def _phase_surface(a, b, oa, ob, search) -> np.ndarray:
-    """Phase correlation at the shifts of the search range, times the window's samples."""
+def _phase_surface(a, b, oa, ob, search, masks=None) -> np.ndarray:
+    """Phase correlation at the shifts of the search range, times the window's samples; missing ones are as the mean."""
     span = [n + m for n, m in zip(a.shape, b.shape)]
     size = [1 << (s - 1).bit_length() if s > 2 else s for s in span]
-    fa = np.fft.rfftn(a - a.mean(), s=size, axes=(0, 1, 2))
-    fb = np.fft.rfftn(b - b.mean(), s=size, axes=(0, 1, 2))
+    level = lambda v, m: v - v.mean() if masks is None else np.where(m, v - v[m].mean(), 0.0)
+    ma, mb = masks or (None, None)
+    fa = np.fft.rfftn(level(a, ma), s=size, axes=(0, 1, 2))
+    fb = np.fft.rfftn(level(b, mb), s=size, axes=(0, 1, 2))
     power = fa * np.conj(fb)
     surface = np.fft.irfftn(power / np.maximum(np.abs(power), 1e-12), s=size, axes=(0, 1, 2))
     # A peak at p means: sample q of b lies at sample q + p of a (cyclic in each axis).
     grids = [(np.arange(-s, s + 1) + q - p) % n for p, q, s, n in zip(oa, ob, search, size)]
-    return surface[np.ix_(*grids)] * a.size
+    return surface[np.ix_(*grids)] * (a.size if masks is None else int(ma.sum()))
 
 
 def phase_peaks(windows: DataFrame, search: tuple[int, int, int], top: int, dtype: str = "<u2") -> DataFrame:
@@ -146,7 +158,8 @@ def phase_peaks(windows: DataFrame, search: tuple[int, int, int], top: int, dtyp
 
     def surface(row):
         a, b, oa, ob = _sides(row, dtype)
-        yield (row.acq_id, row.i, row.j, _phase_surface(a.astype("float64"), b.astype("float64"), oa, ob, search).reshape(-1).tolist())
+        found = _phase_surface(a.astype("float64"), b.astype("float64"), oa, ob, search, _masks(row, a, b))
+        yield (row.acq_id, row.i, row.j, found.reshape(-1).tolist())
 
     summed = (
         map_boxes(windows, surface, schema)
@@ -186,9 +199,13 @@ def shift_moments(windows: DataFrame, shifts: DataFrame | None, search: tuple[in
     def moments(row):
         a, b, oa, ob = _sides(row, dtype)
         a, b = a.astype(number), b.astype(number)
+        masks = _masks(row, a, b)
         for shift in every or [tuple(s[c] for c in SHIFT) for s in row.shifts]:
             va, vb = _shared(a, b, oa, ob, shift)
-            if va is not None:
+            if va is not None and masks is not None:
+                both = np.logical_and(*_shared(*masks, oa, ob, shift))
+                va, vb = va[both], vb[both]
+            if va is not None and va.size:
                 found = (va.sum(), vb.sum(), (va * va).sum(), (vb * vb).sum(), (va * vb).sum())
                 yield (row.acq_id, row.i, row.j, *shift, va.size, *[v.item() for v in found])
 

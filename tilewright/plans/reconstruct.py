@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tilewright.operators import flatfield as FF
 from tilewright.operators.blocks import TILE, convert_to_blocks, tile_sizes
 from tilewright.operators.blur import gaussian_blur
+from tilewright.operators.boxes import CELL
 from tilewright.operators.fuse import fuse
 from tilewright.operators.manifest import channel_number, select_channel
 from tilewright.operators.overlap import overlap_pairs
@@ -126,7 +127,10 @@ class Reconstruction:
         ended = self._now()
         self.tables[name], self.schemas[name] = path + below, result.schema
         written = self.table(name)
-        rows = written.groupBy("acq_id").agg(F.count(F.lit(1)).alias("rows"))
+        # A block that lacks samples is several boxes, and one row of the trace.
+        place = [c for c in ("tile_index", "channel", "level", *CELL) if c in written.columns]
+        count = F.count_distinct(*place) if {*CELL} <= {*place} else F.count(F.lit(1))
+        rows = written.groupBy("acq_id").agg(count.alias("rows"))
         trace = rows.select(
             F.lit(self.run_id).alias("run_id"), F.lit(name).alias("stage"), "acq_id",
             F.lit(started).alias("started"), F.lit(ended).alias("ended"), "rows", F.lit("ok").alias("status"),
@@ -145,7 +149,8 @@ class Reconstruction:
 def reconstruct(spark: SparkSession, planes: DataFrame, stage: DataFrame, folder: str, **options) -> Reconstruction:
     """Planes and stage coordinates to a multi-resolution export below ``folder``, as the options say.
 
-    ``planes``: boxes of whole or partial planes per tile and channel; ``stage``: acq_id, tile_index, stage.
+    ``planes``: boxes of whole or partial planes per tile and channel; ``stage``: acq_id, tile_index, stage, and
+    ``size_z, size_y, size_x`` when the samples may not reach the tiles' ends.
     Stages: parse, convert, flatfield (if asked for), matching (channel choice or average, blur), stitch, export.
     Every stage writes a table that the next ones read, and a trace row per acquisition.  All
     options are checked before any data is read.
@@ -160,13 +165,14 @@ def reconstruct(spark: SparkSession, planes: DataFrame, stage: DataFrame, folder
     blocks = run.stage("blocks", convert_to_blocks(wanted, cell), write_blocks, "/blocks")
 
     positions = parse_tiles(stage, o["parse"]["resolution"], o["parse"]["axis_mapping"])
-    sizes = cut_lineage(tile_sizes(blocks))
+    given = ["acq_id", "tile_index", *[f"size_{a}" for a in ("z", "y", "x")]]
+    sizes = cut_lineage(stage.select(*given) if {*given} <= {*stage.columns} else tile_sizes(blocks))
     on_grid = [F.floor(F.col(f"pos_{a}") + 0.5).cast("long").alias(f"pos_{a}") for a in ("z", "y", "x")]
     tiles = run.stage("tiles", positions.select("acq_id", "tile_index", *on_grid).join(sizes, ["acq_id", "tile_index"]))
 
     if o["flatfield"]["flatfield_correction"]:
         counted = FF.cell_histograms(blocks, cell[1:], o["flatfield"]["flatfield_bins"])
-        fitted = run.stage("field", FF.estimate(counted, cell[1:]), write_field)
+        fitted = run.stage("field", FF.estimate(counted, cell[1:], uneven=True), write_field)
         blocks = run.stage("corrected", FF.apply_field(blocks, fitted, cell[1:]), write_blocks, "/blocks")
 
     matching, dtype = matching_blocks(blocks, sizes, o["matching"]["stitching_channel"], o["matching"]["stitching_blur_sigma"], cell)
