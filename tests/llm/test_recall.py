@@ -55,6 +55,65 @@ def test_bands_lose_hardly_a_pair():
     assert lost <= 3
 
 
+def _signed_lines(lines):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(lines)), pa.int64()), pa.array(lines)], names=["class", "line"])
+    return pa.Table.from_batches(list(line_dedup._bands([batch]))).combine_chunks().to_batches()[0]
+
+
+def test_sketches_rule_out_unlike_lines_only():
+    rnd, alphabet = random.Random(8), [chr(c) for c in range(0x4E00, 0x9000)]
+    lines = []
+    for n in [1, 4, 5, 60, 64, 68, 69, 130, 300, 700, 5000] * 6:
+        line = rnd.choices(alphabet, k=n)
+        lines.append(line)
+        for share in (0.01, 0.02, 0.03, 0.05, 0.3, 1):
+            lines.append([rnd.choice(alphabet) if rnd.random() < share else c for c in line])
+        lines.append(line[: n * 3 // 4])
+    signed = _signed_lines(["".join(line) for line in lines])
+    rows = [(1, c, n, k) for c, n, k in zip(*(signed.column(i).to_pylist() for i in (0, 2, 3)))]
+    table = pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["key", "class", "n", "sketch"])])
+    i, j = map(np.array, zip(*((a, b) for a in range(len(lines)) for b in range(a))))
+    kept = set(zip(*line_dedup._Sketched(table, 75).may_be_alike(i, j)))
+    sets = [brute.char_set("".join(line)) for line in lines]
+    unlike = []
+    for a, b in zip(i, j):
+        share = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+        assert (a, b) in kept or share < 0.75
+        if share < 0.2 and 0.75 <= len(sets[a]) / len(sets[b]) <= 4 / 3 and len(sets[a]) > 50:
+            unlike.append((a, b) in kept)
+    # those far from alike hardly ever go on to their texts; every pair of a key did before
+    assert len(unlike) > 1000 and np.mean(unlike) < 0.01
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_all_pairs_of_a_key_in_batches_of_any_size(most):
+    line = "".join(chr(0x4E00 + i) for i in range(50))
+    signed = _signed_lines([line[:i] + "x" + line[i + 1 :] for i in range(12)] + [chr(0x5000 + i) * 50 for i in range(3)])
+    members = {1: [3], 2: [0, 1, 13], 3: list(range(2, 15)), 4: [5, 6], 5: [7, 8, 9, 14]}
+    at = [(key, c) for key, group in members.items() for c in group]
+    rows = signed.take(pa.array([c for _, c in at]))
+    rows = pa.RecordBatch.from_arrays([pa.array([k for k, _ in at]), rows.column(0), rows.column(2), rows.column(3)], names=["key", "class", "n", "sketch"])
+    text = [line[:i] + "x" + line[i + 1 :] for i in range(12)] + [chr(0x5000 + i) * 50 for i in range(3)]
+    sets = [brute.char_set(t) for t in text]
+    small = {k: g for k, g in members.items() if len(g) <= most}
+    large = {k: g for k, g in members.items() if len(g) > most}
+    pairs = {(a, b) for g in small.values() for a in g for b in g if a < b} | {(g[0], b) for g in large.values() for b in g[1:]}
+    alike = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    for step in (1, 2, 5, 50):
+        batches = [rows.slice(k, step) for k in range(0, len(at), step)]
+        out = pa.Table.from_batches(list(line_dedup._proposed(75, most)(iter(batches)))).to_pylist()
+        found = {(r["a"], r["b"]) for r in out if r["key"] is None}
+        assert alike and alike <= found <= {(a, b) for a, b in pairs if b < 12}
+        assert {(r["b"], r["key"]) for r in out if r["key"] is not None} == {(b, k) for k, g in large.items() for b in g}
+
+
+def test_line_dedup_with_keys_that_many_lines_share(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP", 1)
+    rows = brute.fixture(n=30)
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, brute.SCHEMA).repartition(3)).collect()}
+    assert got == brute.dedup_lines(rows)
+
+
 def test_table_keys_lose_hardly_a_pair():
     # sets of 70 hashes with 60 in common: exactly 0.75
     n = 40000
