@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("tilewright.llm")
@@ -48,3 +49,21 @@ def test_quality_model_of_odd_tables(spark):
     assert [r.score for r in got.collect()] == [1.0, 1.0, 1.0]
     assert got.columns == [*docs.columns, "score"]
     assert quality_model.score(docs.limit(0), spark.createDataFrame([], schema)).count() == 0
+
+
+def test_pooling_in_small_slices_gives_the_same(monkeypatch):
+    import tracemalloc
+
+    from tilewright.llm import textkit
+
+    texts = ["", "a b a b\n7", "   "] + ["Word %d of 9 words, A b C\n" % (i % 5) * 400 for i in range(100)]
+    data, offsets = textkit.ragged(pa.array(texts))
+    vectors = np.random.default_rng(4).random((quality_model.FEATURES, quality_model.WIDTH)).astype(np.float32)
+    monkeypatch.setattr(quality_model, "SLICE_BYTES", 1 << 30)
+    whole = quality_model.pooled(data, offsets, vectors)
+    monkeypatch.undo()
+    tracemalloc.start()
+    assert np.array_equal(quality_model.pooled(data, offsets, vectors), whole)
+    # the texts are a megabyte
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()

@@ -195,3 +195,57 @@ def test_license_sql_states_the_same_rule(spark, tmp_path):
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     want = con.execute(f"select {', '.join(names)} from ({oracles.license_scan()})").fetchall()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def _goes_on_from_python(plan):
+    """Whether the frame is a Python step's rows, with nothing between that is shuffled."""
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-").split(" ")[0].split("(")[0]
+        if name not in ("Project", "Filter", "SubqueryAlias"):
+            return name == "MapInArrow"
+    return False
+
+
+@pytest.mark.parametrize("group", [2, 2048])
+def test_a_task_has_one_python_step(spark, monkeypatch, group):
+    # two steps in a task are two processes, both of which keep their memory for the stages after
+    kind, chained = type(spark.range(1)), []
+    step = kind.mapInArrow
+
+    def watched(self, *args, **kwargs):
+        chained.append(_goes_on_from_python(self._jdf.queryExecution().analyzed().toString()))
+        return step(self, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    monkeypatch.setattr(line_dedup, "GROUP", group)
+    rows = brute.fixture(n=30)
+    docs = spark.createDataFrame(rows, brute.SCHEMA).repartition(3)
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == brute.dedup_lines(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()} == brute.near_duplicates(rows)
+    assert chained and not any(chained)
+
+
+def test_keys_of_a_line_go_out_in_parts():
+    signed = _signed_lines(["line number %d" % i for i in range(500)])
+
+    class Full:
+        value = type("Table", (), {"values": np.full(1 << 24, 255, dtype=np.uint8)})
+
+    out = list(line_dedup._met_keys(Full, Full)([signed]))
+    assert sum(len(b) for b in out) == 500 * line_dedup.BANDS
+    assert max(len(b) for b in out) <= 1 << 13
+
+
+def test_similar_pairs_of_many_sizes():
+    rnd = random.Random(8)
+    pairs = []
+    for i in range(600):
+        a = "".join(rnd.choice("abcdeé ") for _ in range(rnd.choice([1, 4, 5, 30, 300]))) + "x"
+        b = a if i % 7 == 0 else a[: rnd.randrange(len(a) + 1)] + "y" + a[rnd.randrange(len(a) + 1) :]
+        pairs.append((i, i + 1000, a, b))
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*pairs)], names=["a", "b", "sb", "sa"])
+    runs = lambda line: {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+    want = [i for i, _, a, b in pairs if 100 * len(runs(a) & runs(b)) >= 75 * len(runs(a) | runs(b))]
+    assert 100 < len(want) < 500
+    assert [x for out in line_dedup._alike(75)([batch]) for x in out.column(0).to_pylist()] == want

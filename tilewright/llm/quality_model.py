@@ -36,6 +36,8 @@ DRAWS = 2
 #: Labelled documents of each quality that the fit reads at most, taken by the hash of their id.
 SAMPLE = 10_000
 HIDDEN = 24
+#: Bytes of text worked on at once; a run has vectors of ``WIDTH`` numbers, and a worker keeps what it once took.
+SLICE_BYTES = 1 << 18
 EPOCHS = 60
 THRESHOLD = 0.3
 HELD_OUT = (5, 0)
@@ -75,7 +77,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """(FEATURES, DRAWS) columns and signs."""
     rnd = np.random.default_rng(1905)
-    return rnd.integers(0, WIDTH, (FEATURES, DRAWS)), rnd.choice([-1, 1], (FEATURES, DRAWS)).astype(np.int32)
+    return rnd.integers(0, WIDTH, (FEATURES, DRAWS)), rnd.choice([-1, 1], (FEATURES, DRAWS)).astype(np.int64)
 
 
 def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +86,7 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     table = np.zeros(FEATURES * WIDTH, dtype=np.int64)
     for batch in batches:
         data, offsets = textkit.ragged(batch.column(0))
-        for rows in textkit.row_slices(offsets):
+        for rows in textkit.row_slices(offsets, SLICE_BYTES):
             local = offsets[rows.start : rows.stop + 1]
             word, shape, first = runs(data[local[0] : local[-1]], local - local[0])
             same = np.ones(max(0, len(word) - 1), dtype=bool)
@@ -95,9 +97,7 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 for a, b in ((left, right), (right, left)):
                     for draw in range(DRAWS):
                         seen = by[b]
-                        cells = of[a] * WIDTH + columns[seen, draw]
-                        sums = np.bincount(cells, signs[seen, draw], FEATURES * WIDTH)
-                        table += sums.astype(np.int64)
+                        np.add.at(table, of[a] * WIDTH + columns[seen, draw], signs[seen, draw])
     size = 1024 * WIDTH
     for block in range(FEATURES // 1024):
         part = table[block * size : (block + 1) * size]
@@ -134,12 +134,21 @@ POOLED = 4 * WIDTH + 12
 
 def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """(rows, POOLED) features of the texts."""
+    out = np.zeros((len(offsets) - 1, POOLED), dtype=np.float32)
+    last = np.zeros(0, dtype=np.int64)
+    for rows in textkit.row_slices(offsets, SLICE_BYTES):
+        local = offsets[rows.start : rows.stop + 1]
+        last = _pool(data[local[0] : local[-1]], local - local[0], vectors, last, out[rows])
+    return out
+
+
+def _pool(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray, last: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Fills ``out``; takes the four runs before the texts and gives the last four."""
     word, shape, first = runs(data, offsets)
     n = np.diff(first)
-    out = np.zeros((len(n), POOLED), dtype=np.float32)
     full = np.flatnonzero(n)
     if not len(full):
-        return out
+        return last
     starts, count = first[:-1][full], n[full][:, None]
     for k, of in enumerate((word, shape)):
         values = vectors[of]
@@ -153,11 +162,12 @@ def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.nda
         out[full, at + j] = np.add.reduceat(chosen.astype(np.float32), starts) / count[:, 0]
     out[full, at + 10] = np.log1p(n[full]) / 10
     # how many runs are the same as one of the four runs before
-    again = np.zeros(len(word), dtype=np.float32)
+    known = np.concatenate([last, word])
+    again = np.zeros(len(known), dtype=np.float32)
     for back in range(1, 5):
-        again[back:] = np.maximum(again[back:], word[back:] == word[:-back])
-    out[full, at + 11] = np.add.reduceat(again, starts) / count[:, 0]
-    return out
+        again[back:] = np.maximum(again[back:], known[back:] == known[:-back])
+    out[full, at + 11] = np.add.reduceat(again[len(last) :], starts) / count[:, 0]
+    return known[-4:]
 
 
 class Network:
