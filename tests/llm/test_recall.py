@@ -249,3 +249,72 @@ def test_similar_pairs_of_many_sizes():
     want = [i for i, _, a, b in pairs if 100 * len(runs(a) & runs(b)) >= 75 * len(runs(a) | runs(b))]
     assert 100 < len(want) < 500
     assert [x for out in line_dedup._alike(75)([batch]) for x in out.column(0).to_pylist()] == want
+
+
+def _joined(pairs, nodes):
+    parent = {n: n for n in nodes}
+
+    def top(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        parent[b] = a
+    return {n: top(n) for n in nodes}
+
+
+def test_a_forest_stands_for_all_pairs_of_a_key():
+    # near copies of one line: their pairs grew with the square of their number
+    rnd = random.Random(3)
+    alphabet = [chr(c) for c in range(0x4E00, 0x9000)]
+    lines = []
+    for _ in range(4):
+        line = rnd.choices(alphabet, k=90)
+        lines += ["".join(rnd.choice(alphabet) if rnd.random() < 0.03 else c for c in line) for _ in range(100)]
+    signed = _signed_lines(lines)
+    at = [(key, c) for key in (1, 2, 3) for c in rnd.sample(range(400), 250)]
+    at.sort()
+    rows = signed.take(pa.array([c for _, c in at]))
+    rows = pa.RecordBatch.from_arrays([pa.array([k for k, _ in at]), rows.column(0), rows.column(2), rows.column(3)], names=["key", "class", "n", "sketch"])
+    for step in (7, 400, 1000):
+        batches = [rows.slice(k, step) for k in range(0, len(at), step)]
+        every, forest = (pa.Table.from_batches(list(line_dedup._proposed(75, 300, few)(iter(batches)))).to_pylist() for few in (False, True))
+        for key in (1, 2, 3):
+            nodes = [c for k, c in at if k == key]
+            all_pairs, few = ([(r["a"], r["b"]) for r in found if r["of"] == key] for found in (every, forest))
+            assert _joined(few, nodes) == _joined(all_pairs, nodes) and set(few) <= set(all_pairs)
+            assert len(few) == 250 - len(set(_joined(few, nodes).values())) < len(all_pairs) / 5
+    # inside a component nothing is left to judge
+    known = rows.append_column("component", pa.array([c // 100 for _, c in at]))
+    assert not any(r["a"] // 100 == r["b"] // 100 for out in line_dedup._proposed(75, 300)([known]) for r in out.to_pylist())
+
+
+def test_pairs_of_keys_with_a_broken_forest(spark, monkeypatch):
+    # of lines around the limit, what a sketch lets through is often not alike: then the other pairs of the key count
+    rnd = random.Random(5)
+    lines = []
+    for _ in range(12):
+        line = [rnd.choice("abcdefgh ") for _ in range(70)]
+        for _ in range(14):
+            lines.append("".join(rnd.choice("abcdefgh") if rnd.random() < 0.02 else c for c in line))
+    rnd.shuffle(lines)
+    rows = [(i, "\n".join(lines[3 * i : 3 * i + 3]), "en", "s", 1, "k") for i in range(56)]
+    kept, stored = {}, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: kept.setdefault(name, []).append(stored(df, name)) or kept[name][-1])
+    monkeypatch.setattr(line_dedup, "PASS_ROWS", 1)
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, brute.SCHEMA)).collect()}
+    assert got == brute.dedup_lines(rows)
+    assert len(kept["line-proposed"]) == line_dedup.PASSES
+    assert kept["line-open"][0].count() and kept["line-links"][1].count()
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark):
+    from tilewright.llm.shared import stored
+
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle")}
+    before = files()
+    out = stored(spark.range(1000).repartition(7, "id"), "some")
+    assert not files() - before and out.count() == 1000
