@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Callable
 from operator import itemgetter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.catalog import views as V
@@ -193,12 +193,12 @@ select s.doc_id, concat('store/', s.doc_id) as path,
 from sheet s join documents d using (doc_id)"""
 
 
-def _zipped(rows: DataFrame, folder: str, prefix: str, place: Callable) -> DataFrame:
+def _zipped(rows: DataFrame, folder: Column, prefix: str, place: Callable) -> DataFrame:
     """Archives of ten documents each: ``place(path, entries)`` gives an archive's row; rows of an archive lie together and stream.
 
     A file per archive in ``folder``, a member ``<prefix><doc_id>.txt`` per document.
     """
-    path = F.concat(F.lit(folder), F.floor(F.col("doc_id") / 10), F.lit(".zip"))
+    path = F.concat(folder, F.floor(F.col("doc_id") / 10), F.lit(".zip"))
     docs = rows.select(path.alias("path"), F.concat(F.lit(prefix), "doc_id", F.lit(".txt")).alias("member"), "doc_id", "text")
     names = ["path", "content"]
 
@@ -224,7 +224,7 @@ def unzip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         _write_members(buffer, entries)
         return path, buffer.getvalue()
 
-    archives = _zipped(V.table(spark, sf_dir, "documents"), "store/", "", in_memory)
+    archives = _zipped(V.table(spark, sf_dir, "documents"), F.lit("store/"), "", in_memory)
     return FI.unzip_members(archives).select("archive", "member", "size", F.md5("content").alias("md5"))
 
 
@@ -233,7 +233,10 @@ UNZIP = """select concat('store/', doc_id // 10, '.zip') as archive, concat(doc_
 
 
 def ingest_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives of ten documents each in a folder, listed, expanded beside themselves and digested from the files."""
+    """Archives of ten documents each, a hundred of them in a folder, listed, expanded beside themselves and digested from the files.
+
+    No folder grows with the documents, and tasks list them.
+    """
     folder = FI.qualified(spark, staging_path(spark, "archives"))
 
     def in_file(path, entries):
@@ -245,7 +248,8 @@ def ingest_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
             _write_members(out, entries)
         return path, b""
 
-    written = cut_lineage(_zipped(V.table(spark, sf_dir, "documents"), f"{folder}/", "d/", in_file).select("path"))
+    hundred = F.concat(F.lit(f"{folder}/"), F.floor(F.col("doc_id") / 1000), F.lit("/"))
+    written = cut_lineage(_zipped(V.table(spark, sf_dir, "documents"), hundred, "d/", in_file).select("path"))
     cut_lineage(FI.expand_beside(FI.archive_members(written)))
     files = FI.file_inventory(spark, folder, glob="*.txt")
     found = files.join(FI.file_digests(files), "path")

@@ -7,6 +7,7 @@ import itertools
 import zipfile
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 from operator import itemgetter
 
 import pandas as pd
@@ -20,8 +21,11 @@ from tilewright.session import cut_lineage
 def file_inventory(spark: SparkSession, folder: str, hash_content: bool = False, glob: str | None = None) -> DataFrame:
     """``path, name, length, modified`` of existing files, and ``md5`` when asked for.
 
-    Without hashing the content column is pruned, so only the listing is read.
+    Without hashing, tasks list the folders level by level, and the driver holds no file: its memory doesn't grow with them.
+    A task holds the names of one folder.  What is no folder, as a pattern, goes through Spark's reader.
     """
+    if not hash_content and _is_folder(spark, folder):
+        return _listed(spark, folder, glob)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -31,6 +35,52 @@ def file_inventory(spark: SparkSession, folder: str, hash_content: bool = False,
     return files.select("path", name.alias("name"), "length", F.col("modificationTime").alias("modified"), *extra)
 
 
+def _is_folder(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(path) and system.getFileStatus(path).isDirectory()
+
+
+def _is_hidden(name: str, inside: bool) -> bool:
+    """Names of files and folders that Spark's readers leave out."""
+    hidden = (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+    return hidden and not (inside and name.startswith(("_common_metadata", "_metadata")))
+
+
+def _listed(spark: SparkSession, folder: str, glob: str | None) -> DataFrame:
+    """``path, name, length, modified`` of the files below a folder, as Spark's reader of binary files gives them."""
+    top = qualified(spark, folder).rstrip("/")
+    # names below are no URIs: they may hold any character
+    root = spark._jvm.org.apache.hadoop.fs.Path(top).toUri().toString()
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        from pyarrow import fs
+
+        system, at = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for below in batch["below"].to_pylist():
+                for info in system.get_file_info(fs.FileSelector(at.rstrip("/") + below)):
+                    inside = info.type == fs.FileType.Directory
+                    # files without a byte are left out there too
+                    if not _is_hidden(info.base_name, inside) and (inside or info.size):
+                        yield f"{below}/{info.base_name}", info.base_name, info.size or 0, info.mtime_ns // 1_000_000, inside
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _in_batches(entries(batches), ["below", "name", "length", "millis", "inside"])
+
+    # AQE would merge partitions by bytes, but a row is a folder to list: keep the set number
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folders, levels = spark.createDataFrame([("",)], "below string"), []
+    while not folders.isEmpty():
+        found = folders.repartition(n, "below").mapInArrow(listing, "below string, name string, length bigint, millis bigint, inside boolean")
+        levels.append(cut_lineage(found))
+        folders = levels[-1].where("inside").select("below")
+    files = reduce(DataFrame.unionByName, levels).where(~F.col("inside"))
+    if glob:
+        files = files.where(F.col("name").rlike(f"^(?:{spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()})$"))
+    return files.select(F.concat(F.lit(top), "below").alias("path"), "name", "length", F.timestamp_millis("millis").alias("modified"))
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder as its file system spells it, as ``file_inventory`` lists it: ``file:///a/b``."""
     jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
